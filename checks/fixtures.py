@@ -6,10 +6,13 @@ row gives ``l_linenumber % 3 + 1`` transcript rows, numbered by ``k``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarecohort.model import CSQ_COLUMNS, FORMAT_COLUMNS
+from rarecohort.sources.staging import stage
 
 COLUMNS_SQL = {
     "Patient_ID": "concat('PATIENT_', lpad(CAST(l_suppkey AS STRING), 5, '0'))",
@@ -81,15 +84,22 @@ def read_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.repartition(cores, "l_orderkey", "l_linenumber") if df.rdd.getNumPartitions() < cores else df
 
 
-def transcripts(lineitem: DataFrame) -> DataFrame:
-    """One row per transcript number."""
-    return lineitem.withColumn("k", F.explode(F.sequence(F.lit(0), (F.col("l_linenumber") % 3).cast("int"))))
+#: Columns that differ between the transcripts of a variant.
+PER_TRANSCRIPT = ["Consequence", "IMPACT", "SYMBOL", "Feature", "BIOTYPE", "EXON"]
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The variant table as a DataFrame."""
-    rows = transcripts(read_lineitem(spark, sf_dir))
-    return rows.select(*[F.expr(sql).alias(name) for name, sql in COLUMNS_SQL.items()])
+    """The variant table as a DataFrame.
+
+    What is the same for all transcripts is computed before they fan out.
+    """
+    shared = [c for c in COLUMNS_SQL if c not in PER_TRANSCRIPT]
+    return (
+        read_lineitem(spark, sf_dir)
+        .select("l_partkey", "l_linenumber", *[F.expr(COLUMNS_SQL[c]).alias(c) for c in shared])
+        .withColumn("k", F.explode(F.sequence(F.lit(0), (F.col("l_linenumber") % 3).cast("int"))))
+        .select(*[F.expr(sql).alias(c) if c in PER_TRANSCRIPT else F.col(c) for c, sql in COLUMNS_SQL.items()])
+    )
 
 
 # --- VCF text ------------------------------------------------------------------
@@ -102,63 +112,67 @@ PATIENT_NO = "CAST(substr(Patient_ID, 9) AS BIGINT)"
 
 def header_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The header line of every patient, by Patient_ID and value."""
-    text = F.when(
-        F.expr(f"{PATIENT_NO} % 2 = 0"), "|".join(BACKWARD)
-    ).otherwise("|".join(FORWARD))
-    return variants(spark, sf_dir).select("Patient_ID").distinct().select(
-        "Patient_ID",
-        F.concat(
-            F.lit('##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequence annotations. Format: '), text, F.lit('">')
-        ).alias("value"),
-    )
+    text = F.when(F.expr(f"{PATIENT_NO} % 2 = 0"), "|".join(BACKWARD)).otherwise("|".join(FORWARD))
+    start = F.lit('##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequence annotations. Format: ')
+    patients = read_lineitem(spark, sf_dir).select(F.expr(COLUMNS_SQL["Patient_ID"]).alias("Patient_ID")).distinct()
+    return patients.select("Patient_ID", F.concat(start, text, F.lit('">')).alias("value"))
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One VCF record per lineitem row, with its transcripts in CSQ.
 
-    The transcripts of a row are built side by side in the row itself, so
-    nothing is grouped.  Several known-variant ids are joined by ``&``, as a
-    comma ends a transcript.
+    The transcripts of a row are an array in the row itself, so nothing is
+    grouped.  Several known-variant ids are joined by ``&``, as a comma ends a
+    transcript.
     """
-    def transcript(k: int):
-        values = {
-            name: F.expr(sql.replace("3 * k", f"3 * {k}").replace("k = 2", f"{k} = 2").replace("k = 1", f"{k} = 1")
-                         .replace("k <> 1", f"{k} <> 1").replace("k = 0", f"{k} = 0").replace("10 + k", f"10 + {k}"))
-            for name, sql in COLUMNS_SQL.items()
-            if name in CSQ_COLUMNS
-        }
-        values["Existing_variation"] = F.replace(values["Existing_variation"], F.lit(","), F.lit("&"))
-        values["CANONICAL"] = F.lit("YES")
-        fields = {
-            order: F.concat_ws("|", *[F.coalesce(values.get(n, F.lit("")), F.lit("")) for n in names])
-            for order, names in (("forward", FORWARD), ("backward", BACKWARD))
-        }
-        return F.when(F.col("l_suppkey") % 2 == 0, fields["backward"]).otherwise(fields["forward"])
-
-    def dot(name: str):
-        return F.coalesce(F.expr(COLUMNS_SQL[name]), F.lit("."))
-
-    info = F.concat(
-        F.lit("AC=1;CSQ="),
-        F.concat_ws(
-            ",", *[F.when(F.col("l_linenumber") % 3 >= k, transcript(k)) for k in range(3)]
-        ),
-        F.lit(";DB"),
-    )
-    sample = F.concat_ws(":", *[dot(n) for n in FORMAT_COLUMNS], (F.col("l_orderkey") % 50).cast("string"))
-    return read_lineitem(spark, sf_dir).select(
-        F.expr(COLUMNS_SQL["Patient_ID"]).alias("Patient_ID"),
-        F.concat_ws(
-            "\t",
-            F.expr(COLUMNS_SQL["CHROM"]),
-            F.expr(COLUMNS_SQL["POS"]).cast("string"),
-            dot("ID"),
-            F.expr(COLUMNS_SQL["REF"]),
-            F.expr(COLUMNS_SQL["ALT"]),
-            dot("QUAL"),
-            F.expr(COLUMNS_SQL["FILTER"]),
-            info,
-            F.lit(":".join([*FORMAT_COLUMNS, "MIN_DP"])),
-            sample,
-        ).alias("value"),
+    shared = [c for c in COLUMNS_SQL if c not in PER_TRANSCRIPT]
+
+    def transcript(k: Column) -> Column:
+        def value(name: str) -> Column:
+            if name == "CANONICAL":
+                return F.lit("YES")
+            if name == "Existing_variation":
+                return F.replace(name, F.lit(","), F.lit("&"))
+            if name in PER_TRANSCRIPT:
+                return F.get(F.col(f"{name}_by_k"), k)
+            return F.col(name) if name in COLUMNS_SQL else F.lit("")
+
+        def line(names: list[str]) -> Column:
+            return F.concat_ws("|", *[F.coalesce(value(n), F.lit("")) for n in names])
+
+        return F.when(F.col("l_suppkey") % 2 == 0, line(BACKWARD)).otherwise(line(FORWARD))
+
+    def for_k(sql: str, k: int) -> Column:
+        return F.expr(re.sub(r"\bk\b", str(k), sql))
+
+    by_k = [F.array(*[for_k(COLUMNS_SQL[c], k) for k in range(3)]).alias(f"{c}_by_k") for c in PER_TRANSCRIPT]
+    last_k = (F.col("l_linenumber") % 3).cast("int")
+    csq = F.array_join(F.transform(F.sequence(F.lit(0), last_k), transcript), ",")
+    fields = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "info", "format", "sample"]
+    sample = [*FORMAT_COLUMNS, "MIN_DP"]
+    return (
+        read_lineitem(spark, sf_dir)
+        .select(
+            "l_suppkey",
+            "l_linenumber",
+            (F.col("l_orderkey") % 50).alias("MIN_DP"),
+            *[F.expr(COLUMNS_SQL[c]).alias(c) for c in shared],
+            *by_k,
+        )
+        .withColumns(
+            {
+                "info": F.concat(F.lit("AC=1;CSQ="), csq, F.lit(";DB")),
+                "format": F.lit(":".join(sample)),
+                "sample": F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in sample]),
+            }
+        )
+        .select(
+            "Patient_ID",
+            F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in fields]).alias("value"),
+        )
     )
+
+
+def vcf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header and record lines of all patients, written once as text would be."""
+    return stage(header_lines(spark, sf_dir).unionByName(record_lines(spark, sf_dir)), "vcf_text")

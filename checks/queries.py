@@ -61,27 +61,23 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 # --- sources -------------------------------------------------------------------
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.header_lines(spark, sf_dir).unionByName(X.record_lines(spark, sf_dir))
-
-
 @query
 def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.vcf_headers(_lines(spark, sf_dir)).select(
+    return V.vcf_headers(X.vcf_text(spark, sf_dir)).select(
         "Patient_ID", F.size("fields").cast("bigint").alias("n_fields"), F.array_join("fields", "|").alias("fields")
     )
 
 
 @query
 def vcf_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = V.parse_lines(_lines(spark, sf_dir))
+    parsed = V.parse_lines(X.vcf_text(spark, sf_dir))
     extras = [F.col("extras")[n].alias(n) for n in ("MIN_DP", "CANONICAL")]
     return parsed.select(*[c for c in parsed.columns if c != "extras"], *extras)
 
 
 @query
 def parsed_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.parsed_row_counts(V.parse_lines(_lines(spark, sf_dir)))
+    return V.parsed_row_counts(V.parse_lines(X.vcf_text(spark, sf_dir)))
 
 
 @query
