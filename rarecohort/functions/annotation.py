@@ -41,7 +41,7 @@ def has_symbol(symbol: str | Column = "SYMBOL") -> Column:
 
 def consequence_terms(consequence: str | Column = "Consequence") -> Column:
     """The ``&``-joined terms as a trimmed array; NULL stays NULL."""
-    return F.transform(F.split(_col(consequence), "&"), F.trim)
+    return F.transform(F.split(_col(consequence), "&"), lambda t: F.trim(t))
 
 
 def _ladder(values: list) -> Column:

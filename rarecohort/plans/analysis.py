@@ -64,6 +64,8 @@ def analyse(cohort: DataFrame, binnings: list[Binning], max_af: float = 0.01) ->
     obs = stage(G.observations(cohort, max_af), "observations")
     stats = G.patient_gene_stats(G.gene_variants(obs))
     genes = stage(G.gene_level(stats, n_patients), "genes")
+    if genes.isEmpty():
+        raise ValueError("no variant data left after filtering")
     offsets = L.chrom_offsets(genes)
     in_gene = B.join_gene_bounds(obs, genes)
     tables = {
