@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarecohort.model import CSQ_COLUMNS, FORMAT_COLUMNS
@@ -127,41 +127,35 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     shared = [c for c in COLUMNS_SQL if c not in PER_TRANSCRIPT]
 
-    def transcript(k: Column) -> Column:
-        def value(name: str) -> Column:
-            if name == "CANONICAL":
-                return F.lit("YES")
-            if name == "Existing_variation":
-                return F.replace(name, F.lit(","), F.lit("&"))
-            if name in PER_TRANSCRIPT:
-                return F.get(F.col(f"{name}_by_k"), k)
-            return F.col(name) if name in COLUMNS_SQL else F.lit("")
+    def value(name: str) -> str:
+        if name == "Existing_variation":
+            return "replace(Existing_variation, ',', '&')"
+        return COLUMNS_SQL[name] if name in PER_TRANSCRIPT else "'YES'" if name == "CANONICAL" else name
 
-        def line(names: list[str]) -> Column:
-            return F.concat_ws("|", *[F.coalesce(value(n), F.lit("")) for n in names])
+    def line(names: list[str]) -> str:
+        filled = [n for n in names if n in COLUMNS_SQL or n == "CANONICAL"]
+        text = "|".join(f"{{{n}}}" if n in filled else "" for n in names)
+        parts = re.split(r"\{(\w+)\}", text)  # text and names in turn
+        return "concat(" + ", ".join(f"coalesce({value(p)}, '')" if i % 2 else f"'{p}'" for i, p in enumerate(parts)) + ")"
 
-        return F.when(F.col("l_suppkey") % 2 == 0, line(BACKWARD)).otherwise(line(FORWARD))
-
-    def for_k(sql: str, k: int) -> Column:
-        return F.expr(re.sub(r"\bk\b", str(k), sql))
-
-    by_k = [F.array(*[for_k(COLUMNS_SQL[c], k) for k in range(3)]).alias(f"{c}_by_k") for c in PER_TRANSCRIPT]
-    last_k = (F.col("l_linenumber") % 3).cast("int")
-    csq = F.array_join(F.transform(F.sequence(F.lit(0), last_k), transcript), ",")
+    transcripts = F.expr(
+        "transform(sequence(0, CAST(l_linenumber % 3 AS INT)), "
+        f"k -> CASE WHEN l_suppkey % 2 = 0 THEN {line(BACKWARD)} ELSE {line(FORWARD)} END)"
+    )
     fields = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "info", "format", "sample"]
     sample = [*FORMAT_COLUMNS, "MIN_DP"]
     return (
         read_lineitem(spark, sf_dir)
         .select(
+            "l_partkey",
             "l_suppkey",
             "l_linenumber",
             (F.col("l_orderkey") % 50).alias("MIN_DP"),
             *[F.expr(COLUMNS_SQL[c]).alias(c) for c in shared],
-            *by_k,
         )
         .withColumns(
             {
-                "info": F.concat(F.lit("AC=1;CSQ="), csq, F.lit(";DB")),
+                "info": F.concat(F.lit("AC=1;CSQ="), F.array_join(transcripts, ","), F.lit(";DB")),
                 "format": F.lit(":".join(sample)),
                 "sample": F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(".")) for c in sample]),
             }
