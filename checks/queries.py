@@ -136,8 +136,8 @@ _on(lambda v: G.burden_long(FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0
 # --- bins --------------------------------------------------------------------------
 @query
 def gene_bounds_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = G.observations(X.variants(spark, sf_dir), MAX_AF)
-    return B.join_gene_bounds(obs, G.gene_bounds(G.gene_variants(obs)))
+    obs = stage(G.observations(X.variants(spark, sf_dir), MAX_AF), "observations")
+    return B.observations_in_genes(obs, stage(G.gene_bounds(G.gene_variants(obs)), "bounds"))
 
 
 _on(fixed_bins, "bin_level_fixed")

@@ -13,15 +13,34 @@ from rarecohort.operators.genes import patients
 _BOUNDS = ["gene_start", "gene_end"]
 
 
-def join_gene_bounds(obs: DataFrame, bounds: DataFrame) -> DataFrame:
+#: Up to this many genes (some 150 bytes each) the bounds are broadcast.
+MAX_BROADCAST_GENES = 200_000
+#: Beyond it, the observations of a gene spread over this many join keys.
+BOUNDS_SALTS = 32
+
+
+def join_gene_bounds(obs: DataFrame, bounds: DataFrame, broadcast: bool) -> DataFrame:
     """Observations inside the observed extent of their gene.
 
     SYMBOL and CHROM are equi keys, so this is a hash join with a range
-    residual.  There is no broadcast hint: a staged bounds table has a known
-    size and Spark broadcasts it only below its own threshold; above that the
-    join shuffles and adaptive execution splits a hot gene.
+    residual.  ``broadcast`` states that the bounds were counted and are few.
+    Otherwise both sides shuffle on a salted key: without the salt, the later
+    groupings would keep the partitioning by gene, and all calls of a hot gene
+    would stay in one task up to the result.
     """
-    return obs.join(bounds.select(*GENE, *_BOUNDS), GENE).filter(F.col("POS").between(*map(F.col, _BOUNDS)))
+    bounds = bounds.select(*GENE, *_BOUNDS)
+    if broadcast:
+        joined = obs.join(F.broadcast(bounds), GENE)
+    else:
+        salt = F.pmod(F.xxhash64("Patient_ID", "POS", "REF", "ALT"), F.lit(BOUNDS_SALTS)).cast("int")
+        salts = F.explode(F.sequence(F.lit(0), F.lit(BOUNDS_SALTS - 1)))
+        joined = obs.withColumn("salt", salt).join(bounds.withColumn("salt", salts), [*GENE, "salt"]).drop("salt")
+    return joined.filter(F.col("POS").between(*map(F.col, _BOUNDS)))
+
+
+def observations_in_genes(obs: DataFrame, bounds: DataFrame) -> DataFrame:
+    """:func:`join_gene_bounds` by the number of genes; counts ``bounds``, so stage it first."""
+    return join_gene_bounds(obs, bounds, bounds.count() <= MAX_BROADCAST_GENES)
 
 
 def first_window(pos: Column, start: Column, length: int, step: int) -> Column:

@@ -103,16 +103,12 @@ def observations(cohort: DataFrame, max_af: float) -> DataFrame:
 def gene_variants(obs: DataFrame) -> DataFrame:
     """One gene per patient and locus: the one hit worst, ties by name.
 
-    Loci with an unknown allele have no gene statistics.  The allele test sits
-    inside the aggregate, so the observations below stay the same plan as the
-    ones that bins use, and Spark computes their shuffle once for both.
+    Loci with an unknown allele have no gene statistics.
     """
-    known = F.col("REF").isNotNull() & F.col("ALT").isNotNull()
-    pick = F.struct((-F.col("impact_rank")).alias("order_rank"), F.col("SYMBOL"))
     return (
-        obs.groupBy(*PATIENT_LOCUS)
-        .agg(F.min(F.when(known, pick)).alias("g"))
-        .filter(F.col("g").isNotNull())
+        obs.filter(F.col("REF").isNotNull() & F.col("ALT").isNotNull())
+        .groupBy(*PATIENT_LOCUS)
+        .agg(F.min(F.struct((-F.col("impact_rank")).alias("order_rank"), "SYMBOL")).alias("g"))
         .select(*PATIENT_LOCUS, "g.SYMBOL", (-F.col("g.order_rank")).alias("impact_rank"))
     )
 

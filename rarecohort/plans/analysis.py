@@ -37,13 +37,14 @@ def gene_table(cohort: DataFrame, max_af: float) -> DataFrame:
 
 
 def bin_table(cohort: DataFrame, max_af: float, binning: Binning) -> DataFrame:
-    """Bin statistics in one lazy plan.
+    """Bin statistics; the observations and gene bounds below them are staged.
 
-    The observations feed the gene bounds and the bins; both read the same
-    shuffle, so the cohort is scanned once for them.
+    Both bounds and bins come from the observations, so the cohort is scanned
+    once, and the number of genes decides how the bounds are joined.
     """
-    obs = G.observations(cohort, max_af)
-    in_gene = B.join_gene_bounds(obs, G.gene_bounds(G.gene_variants(obs)))
+    obs = stage(G.observations(cohort, max_af), "observations")
+    bounds = stage(G.gene_bounds(G.gene_variants(obs)), "bounds")
+    in_gene = B.observations_in_genes(obs, bounds)
     return B.bin_level(in_gene, G.cohort_size(cohort), binning.length, binning.overlap, binning.mode)
 
 
@@ -57,8 +58,7 @@ def analyse(cohort: DataFrame, binnings: list[Binning], max_af: float = 0.01) ->
 
     Observations and genes are written to the shared folder: the raw table is
     scanned once whatever the number of binnings, a lost executor costs no
-    recomputation from raw rows, and the planner sees the true size of the
-    gene table when it decides how to join it.
+    recomputation from raw rows, and the genes are counted before the join.
     """
     n_patients = G.cohort_size(cohort).first()["n_patients"]
     obs = stage(G.observations(cohort, max_af), "observations")
@@ -67,7 +67,7 @@ def analyse(cohort: DataFrame, binnings: list[Binning], max_af: float = 0.01) ->
     if genes.isEmpty():
         raise ValueError("no variant data left after filtering")
     offsets = L.chrom_offsets(genes)
-    in_gene = B.join_gene_bounds(obs, genes)
+    in_gene = B.observations_in_genes(obs, genes)
     tables = {
         b: L.with_cum_pos(B.bin_level(in_gene, n_patients, b.length, b.overlap, b.mode), offsets) for b in binnings
     }
