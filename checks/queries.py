@@ -28,6 +28,8 @@ OVERLAP = Binning(2_000_000, 500_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: The queries among them that read the variant table only.
+ON_VARIANTS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
 def query(fn: Query) -> Query:
@@ -37,6 +39,7 @@ def query(fn: Query) -> Query:
 
 def _on(table: Callable[[DataFrame], DataFrame], name: str) -> None:
     """Registers an operator that reads the variant table."""
+    ON_VARIANTS[name] = table
     QUERIES[name] = lambda spark, sf_dir: table(X.variants(spark, sf_dir))
 
 

@@ -70,6 +70,11 @@ LOCUS = ["CHROM", "POS", "REF", "ALT"]
 PATIENT_LOCUS = ["Patient_ID", *LOCUS]
 GENE = ["SYMBOL", "CHROM"]
 
+# Grouping order of the same keys.  Aggregates of text sort by the keys, and a
+# number that comes first settles nearly all comparisons; ids share prefixes.
+LOCUS_KEYS = ["POS", "CHROM", "REF", "ALT"]
+PATIENT_LOCUS_KEYS = ["POS", "Patient_ID", "CHROM", "REF", "ALT"]
+
 _TYPES = {"POS": T.LongType(), "QUAL": T.DoubleType()}
 
 #: Types every source is brought to.  Frequencies and call qualities stay

@@ -15,21 +15,23 @@ from rarecohort.model import LOCUS, PSEUDOGENE_BIOTYPES, is_standard_contig, num
 
 
 # --- predicates --------------------------------------------------------------
+# Each parses a number once: a second mention would parse the text again.
+def _not_nan(column: str) -> Column:
+    return F.nanvl(number(column), F.lit(None).cast("double"))
+
+
 def is_rare(max_af: float, af_col: str = "gnomADg_AF") -> Column:
     """Frequency unknown, not a number, or at most ``max_af`` (NaN is dropped)."""
-    af = number(af_col)
-    return af.isNull() | (af <= F.lit(max_af))
+    return F.coalesce(number(af_col) <= F.lit(max_af), F.lit(True))
 
 
 def is_below(max_af: float, af_col: str = "gnomADg_AF") -> Column:
     """Frequency unknown, not a number (NaN included), or strictly below ``max_af``."""
-    af = number(af_col)
-    return af.isNull() | F.isnan(af) | (af < F.lit(max_af))
+    return F.coalesce(_not_nan(af_col) < F.lit(max_af), F.lit(True))
 
 
 def _at_least(column: str, minimum: float) -> Column:
-    value = number(column)
-    return value.isNotNull() & ~F.isnan(value) & (value >= F.lit(minimum))
+    return F.coalesce(_not_nan(column) >= F.lit(minimum), F.lit(False))
 
 
 def passes_technical(min_dp: float = 10, min_gq: float = 20, min_vaf: float = 0.2) -> Column:

@@ -21,7 +21,7 @@ from rarecohort.functions.annotation import (
 )
 from rarecohort.functions.genomics import density, gene_length
 from rarecohort.functions.genotype import is_carrier
-from rarecohort.model import GENE, LOCUS, PATIENT_LOCUS
+from rarecohort.model import GENE, LOCUS, LOCUS_KEYS, PATIENT_LOCUS, PATIENT_LOCUS_KEYS
 from rarecohort.operators.filters import is_rare
 
 
@@ -57,7 +57,7 @@ def variant_dedup(carriers: DataFrame) -> DataFrame:
     """One row per patient and locus with its worst gene-carrying transcript."""
     return (
         carriers.withColumn("impact_rank", impact_rank())
-        .groupBy(*PATIENT_LOCUS)
+        .groupBy(*PATIENT_LOCUS_KEYS)
         .agg(_worst_annotation())
         .select(
             *PATIENT_LOCUS,
@@ -73,7 +73,7 @@ def variant_dedup(carriers: DataFrame) -> DataFrame:
 def variant_level(variants: DataFrame, n_patients: int | DataFrame) -> DataFrame:
     """Per locus: carriers, their share of the cohort, and the worst annotation."""
     return (
-        variants.groupBy(*LOCUS)
+        variants.groupBy(*LOCUS_KEYS)
         .agg(F.count(F.lit(1)).alias("patient_count"), _worst_annotation())
         .select(
             *LOCUS,
@@ -107,7 +107,7 @@ def gene_variants(obs: DataFrame) -> DataFrame:
     """
     return (
         obs.filter(F.col("REF").isNotNull() & F.col("ALT").isNotNull())
-        .groupBy(*PATIENT_LOCUS)
+        .groupBy(*PATIENT_LOCUS_KEYS)
         .agg(F.min(F.struct((-F.col("impact_rank")).alias("order_rank"), "SYMBOL")).alias("g"))
         .select(*PATIENT_LOCUS, "g.SYMBOL", (-F.col("g.order_rank")).alias("impact_rank"))
     )

@@ -29,13 +29,14 @@ def parse(spark, folder, **kw):
     return [r.asDict() for r in vcf.read_vcf(spark, str(folder), **kw).orderBy("Patient_ID", "POS", "SYMBOL").collect()]
 
 
-def test_columns_and_values(spark, tmp_path):
-    write(tmp_path, "Case 1+F.vcf", ["##fileformat=VCFv4.2", header(FIELDS), CHROM_LINE, record()])
+@pytest.mark.parametrize("name", ["Case1_F", "Case 1+F", "a+b", "a.vcf.b", "50%"])
+def test_columns_and_values(spark, tmp_path, name):
+    write(tmp_path, name + ".vcf", ["##fileformat=VCFv4.2", header(FIELDS), CHROM_LINE, record()])
     df = vcf.read_vcf(spark, str(tmp_path))
     assert df.columns == [*COLUMNS, "extras"]
     assert [f.dataType for f in df.schema][:48] == [f.dataType for f in VARIANT_SCHEMA]
     (row,) = df.collect()
-    assert row["Patient_ID"] == "Case 1+F"
+    assert row["Patient_ID"] == name
     assert (row["CHROM"], row["POS"], row["ID"], row["QUAL"], row["FILTER"]) == ("chr1", 100, None, 30.5, "PASS")
     assert [row[f] for f in FIELDS] == ["T", "stop_gained", "HIGH", "TP53"]
     assert [row[f] for f in ("GT", "GQ", "DP", "AD", "VAF", "PL")] == ["0/1", "45", "120", "60,60", "0.5", "100,0,95"]
