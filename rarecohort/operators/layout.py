@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from rarecohort.functions.genomics import contig_label, log_density
 from rarecohort.model import CHROMOSOME_GAP, chromosome_order, is_standard_contig
 
+# --- fixed values: plot layout ---------------------------------------------------
+GENE_GAP_DIVISOR, BIN_GAP_DIVISOR, SMALLEST_GAP = 40, 80, 4
+GENE_BUBBLE, BIN_BUBBLE, VARIANT_BUBBLE = (40, 180), (30, 160), (15, 120)
+VARIANT_BUBBLE_POWER = 1.2
+
 
 def chrom_extent(df: DataFrame, column: str = "gene_end") -> DataFrame:
     """Smallest and largest value of a column per contig."""
@@ -50,12 +55,13 @@ def rank_layout(df: DataFrame, position: str, divisor: int, ties: list[str]) ->
     """
     in_chrom = Window.partitionBy("CHROM").orderBy(position, *ties)
     before = Window.orderBy(chromosome_order()).rowsBetween(Window.unboundedPreceding, -1)
-    total = df.agg(F.greatest(F.lit(4).cast("bigint"), F.floor(F.count(F.lit(1)) / divisor))).scalar()
+    rows = F.count(F.lit(1))
+    gap = df.agg(F.greatest(F.lit(SMALLEST_GAP).cast("bigint"), F.floor(rows / divisor))).scalar()
     standard = df.filter(is_standard_contig())
     starts = (
         standard.groupBy("CHROM")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("gap", total)
+        .withColumn("gap", gap)
         .select(
             "CHROM",
             F.coalesce(F.sum(F.col("n") + F.col("gap")).over(before), F.lit(0).cast("bigint")).alias("first_slot"),
@@ -71,11 +77,11 @@ def rank_layout(df: DataFrame, position: str, divisor: int, ties: list[str]) ->
 
 
 def gene_rank_layout(genes: DataFrame) -> DataFrame:
-    return rank_layout(genes, "POS", 40, ["SYMBOL"])
+    return rank_layout(genes, "POS", GENE_GAP_DIVISOR, ["SYMBOL"])
 
 
 def bin_rank_layout(bins: DataFrame) -> DataFrame:
-    return rank_layout(bins, "bin_start", 80, ["SYMBOL", "bin_index"])
+    return rank_layout(bins, "bin_start", BIN_GAP_DIVISOR, ["SYMBOL", "bin_index"])
 
 
 def chrom_bands(layout: DataFrame, column: str = "rank_x") -> DataFrame:
@@ -105,15 +111,15 @@ def bubble_size(df: DataFrame, column: str, base: float, scale: float, power: fl
 
 
 def bubble_genes(genes: DataFrame) -> DataFrame:
-    return bubble_size(genes, "density", 40, 180)
+    return bubble_size(genes, "density", *GENE_BUBBLE)
 
 
 def bubble_bins(bins: DataFrame) -> DataFrame:
-    return bubble_size(bins, "density", 30, 160)
+    return bubble_size(bins, "density", *BIN_BUBBLE)
 
 
 def bubble_variants(variants: DataFrame) -> DataFrame:
-    return bubble_size(variants, "frequency", 15, 120, power=1.2)
+    return bubble_size(variants, "frequency", *VARIANT_BUBBLE, power=VARIANT_BUBBLE_POWER)
 
 
 def _levels(extent: DataFrame, n: int) -> DataFrame:

@@ -22,10 +22,14 @@ class Binning:
 
 @dataclass
 class CohortTables:
-    """Result tables; ``bins`` is keyed by the binning that made it."""
+    """Result tables; ``bins`` is keyed by the binning that made it.
+
+    Genes are computed when this is made, the others when they are used.
+    """
 
     n_patients: int
     genes: DataFrame
+    variants: DataFrame
     offsets: DataFrame
     bins: dict[Binning, DataFrame] = field(default_factory=dict)
 
@@ -71,4 +75,5 @@ def analyse(cohort: DataFrame, binnings: list[Binning], max_af: float = 0.01) ->
     tables = {
         b: L.with_cum_pos(B.bin_level(in_gene, n_patients, b.length, b.overlap, b.mode), offsets) for b in binnings
     }
-    return CohortTables(n_patients, L.with_cum_pos(genes, offsets), offsets, tables)
+    variants = G.variant_level(G.variant_dedup(rare_carriers(cohort, max_af)), n_patients)
+    return CohortTables(n_patients, *[L.with_cum_pos(t, offsets) for t in (genes, variants)], offsets, tables)

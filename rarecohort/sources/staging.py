@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     executors are one machine.
     """
     global _local_folder
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
