@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session, else a folder in the warehouse.
 
-    A temporary folder stands in for it in local mode only, where driver and
-    executors are one machine.
+    Both are shared by driver and executors, whatever the master is; a
+    folder of one machine never stands in.
     """
-    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="rarecohort-")
-    return _local_folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes a table once and reads it back.
 
     Later uses neither repeat its plan nor depend on the executors that
-    computed it, and the planner knows its real size.
+    computed it, and the planner knows its real size.  The files stay until
+    their folder is cleared, since lazy results may still read them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """The same for small tables; Spark deletes the files with the DataFrame."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

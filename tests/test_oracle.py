@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracles, queries
 from checks.compare import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.QUERIES, oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
