@@ -279,5 +279,4 @@ def digest(leaks: DataFrame) -> DataFrame:
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).cast("bigint").alias("longest"),
     )
