@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rarecohort.llm import leaks, pii, shards, urls
+from rarecohort.llm import leaks, neardup, pii, shards, urls
 from rarecohort.llm.sql import ORACLES  # noqa: F401
 
 
@@ -29,4 +29,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_url_filter, op8_sharding, op9_pii)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), size=4)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_url_filter, op8_sharding, op9_pii, op10_near_duplicates)}
