@@ -9,7 +9,7 @@
    less than the chosen probability.  The survivors are verified on full sets.
 4. Buckets whose classes are not yet in one component get all their remaining
    pairs compared, in blocks inside tasks, so that no link inside a bucket is
-   lost; only pairs that survive step 3 leave a task.
+   lost; only links that merge two components leave a task.
 5. Components of the verified links.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarecohort.llm.graph import components
-from rarecohort.llm.texts import NON_SPACE, Words, map_texts, mix, shingles
+from rarecohort.llm.texts import NON_SPACE, Words, map_texts, mix, shingles, slices
 from rarecohort.sources.staging import checkpoint, stage
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^26 < 1e-6.
@@ -37,6 +37,9 @@ BATCH = 13
 MISS = 1e-7
 #: Classes of a bucket that are compared in one block.
 BLOCK = 1024
+BLOCK_SHINGLES = 500_000
+#: Ids (8 bytes each) that are broadcast to pick texts; beyond it both sides are shuffled.
+MAX_BROADCAST_IDS = 500_000
 #: Side of the tiles in which a block is compared.
 _TILE = 256
 
@@ -124,8 +127,19 @@ def _prune(pairs: DataFrame, classes: DataFrame, looks: list[tuple[int, int]]) -
     return pairs.mapInArrow(run, schema)
 
 
+def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if not len(one) or not len(two) or 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+        return False
+    both = np.sort(np.concatenate((one, two)))
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of which the full shingle sets reach the threshold, as edges (u, v)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    docs = _within(docs, checkpoint(ids))
     for side in ("a", "b"):
         pairs = pairs.join(docs.select(F.col("doc_id").alias(side), F.col("text").alias(f"t{side}")), side)
 
@@ -137,47 +151,82 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
             if known is None or a[r] != known:  # pairs of a hot class often follow each other
                 one, known = np.unique(h[0][at[0][r] : at[0][r + 1]]), a[r]
             two = np.unique(h[1][at[1][r] : at[1][r + 1]])
-            both = np.sort(np.concatenate((one, two)))
-            shared = int((both[1:] == both[:-1]).sum())
-            out.append(shared > 0 and 100 * shared >= percent * (len(both) - shared))
+            out.append(linked(one, two, percent))
         return {"link": out}
 
     return map_texts(pairs, work, [T.StructField("link", T.BooleanType())], "ta", ["a", "b"]).filter("link").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _block_pairs(mixed: DataFrame, classes: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
-    """Surviving pairs (a, b) of two components, of all pairs of each bucket.
+def _within(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of some ids (one column ``id``, distinct), without a shuffle of all texts where the ids are few."""
+    few = ids.count() <= MAX_BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
+
+
+def _first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first band in which the signatures of each row are equal."""
+    return (a.reshape(-1, BANDS, ROWS) == b.reshape(-1, BANDS, ROWS)).all(axis=2).argmax(axis=1)
 
-    A bucket of n classes is dealt into blocks of BLOCK; each class goes to the
-    tasks of its block with every block, n / BLOCK rows, and the n^2 / 2
-    comparisons stay inside those tasks.
+
+def _block_links(mixed: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Verified links (u, v) that join the components of each bucket, as far as any pair of it is linked.
+
+    A bucket is dealt into blocks of BLOCK classes and BLOCK_SHINGLES shingles on
+    average; each class goes to the tasks of its block with every block.  All
+    comparisons stay in those tasks, and a pair is compared in its first common
+    bucket only.  A task keeps the components it knows of: it skips pairs inside
+    one, and returns the links that merged two, fewer than it has classes.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    looks = least_matches(percent)
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(7)), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = mixed.withColumns({"blocks": blocks, "own": own}).select("bucket", "rep", "component", "own", other.alias("other"))
-    rows = rows.select("bucket", "rep", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = rows.join(classes.select("rep", "signature"), "rep")
-    schema = T.StructType([T.StructField("a", mixed.schema["rep"].dataType), T.StructField("b", mixed.schema["rep"].dataType)])
+    rows = mixed.select("bucket", "band", "rep", "component", own.alias("own"), other.alias("other"))
+    rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
+    bodies = _within(docs, checkpoint(mixed.select(F.col("rep").alias("id")).distinct())).groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = rows.join(classes.select("rep", "signature").join(bodies, F.col("rep") == F.col("doc_id")).drop("doc_id"), "rep")
+    kind = mixed.schema["rep"].dataType
+    schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         rep, comp, own = (np.asarray(table[c]) for c in ("rep", "component", "own"))
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        i, j, band = (table[c][0].as_py() for c in ("i", "j", "band"))
         signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, HASHES)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
+        text = table["text"].combine_chunks()
+        text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+        sets = []
+        for first, n in slices(text):
+            h, at = shingles(Words(text.slice(first, n), NON_SPACE), size)
+            sets += [np.unique(h[at[r] : at[r + 1]]) for r in range(n)]
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        left, right, links = np.flatnonzero(own == i), np.flatnonzero(own == j), []
         for p in range(0, len(left), _TILE):
             for q in range(0, len(right), _TILE):
                 x, y = (v.ravel() for v in np.meshgrid(left[p : p + _TILE], right[q : q + _TILE], indexing="ij"))
                 across = (comp[x] != comp[y]) & ((i != j) | (x < y))
                 x, y = x[across], y[across]
-                live = similar(signs[x], signs[y], looks) if len(x) else x
-                found.append(np.stack((rep[x[live]], rep[y[live]])))
-        a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
-
-    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, schema).distinct()
+                if not len(x):
+                    continue
+                live = similar(signs[x], signs[y], looks)
+                live = live[_first_band(signs[x[live]], signs[y[live]]) == band]
+                alike = (signs[x[live]] == signs[y[live]]).sum(axis=1)
+                for k in live[np.argsort(-alike, kind="stable")]:
+                    a, b = int(x[k]), int(y[k])
+                    ra, rb = root(int(comp[a])), root(int(comp[b]))
+                    if ra != rb and linked(sets[a], sets[b], percent):
+                        parent[max(ra, rb)] = min(ra, rb)
+                        links.append((int(rep[a]), int(rep[b])))
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, schema)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -199,24 +248,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     filled = signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
     # The smallest id stands for all documents of a set.
     classes = checkpoint(
-        filled.groupBy("set_id").agg(F.min(F.struct("doc_id", "signature")).alias("x")).select("set_id", "x.doc_id", "x.signature").withColumnRenamed("doc_id", "rep")
+        filled.groupBy("set_id")
+        .agg(F.min(F.struct("doc_id", "signature", "n_shingles")).alias("x"))
+        .select("set_id", F.col("x.doc_id").alias("rep"), "x.signature", "x.n_shingles")
     )
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substr("signature", b * 2 * ROWS + 1, F.lit(2 * ROWS)))))
-    buckets = classes.select("rep", band.alias("band", "bucket")).select("rep", "bucket")
+    buckets = classes.select("rep", "n_shingles", band.alias("band", "bucket"))
     # Buckets of two or more classes; most have one.
-    leaders = buckets.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    leaders = buckets.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).filter("n > 1")
     full = stage(buckets.join(leaders, "bucket"), "buckets")
     docs_of = docs.filter("doc_id IS NOT NULL")
     star = full.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     edges = stage(_verify(checkpoint(_prune(star, classes, looks)), docs_of, size, percent), "links")
     labels = checkpoint(components(edges))
-    named = full.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    named = full.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", "n", "shingles", F.coalesce("component", "rep").alias("component"))
     named = stage(named, "named")
     split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
     mixed = named.join(split, "bucket")
-    rest = checkpoint(_block_pairs(mixed, classes, looks))
-    more = stage(_verify(rest, docs_of, size, percent), "links")
-    edges = edges.unionAll(more)
+    edges = edges.unionAll(stage(_block_links(mixed, classes, docs_of, size, percent), "links"))
     # A document with two versions can be in two sets; its id then links them.
     versions = filled.groupBy("doc_id").agg(F.count_distinct("set_id").alias("sets")).filter("sets > 1").select("doc_id")
     twice = filled.join(versions, "doc_id").join(classes.select("set_id", "rep"), "set_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
