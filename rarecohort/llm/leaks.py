@@ -232,7 +232,7 @@ def find_leaks(
     Adds n_words, hit_spans (half-open word ranges inside some window), items
     (ids, sorted) and matches (longest verbatim match of each benchmark suffix
     in a shard, with both positions, if it has the window).  With ``drop``,
-    documents that hold a window are left out.
+    nothing is added and documents that hold a window are left out.
 
     An item of fewer words than the window, but not none, is one window.  Null
     and empty texts have no words; null items and items without words match
@@ -260,10 +260,16 @@ def find_leaks(
                 out["hit_spans"].append([{"start": a, "end": b} for a, b in _spans(points)])
                 out["items"].append(sorted(names))
                 out["matches"].append([dict(zip(("item_id", "item_word", "doc_word", "length"), m)) for m in sorted(found)])
-            if last and drop:
-                out[None] = [not x for x in out["hit_spans"]]
             return out
 
+        if drop:
+
+            def clean(batch: pa.RecordBatch, piece=piece) -> dict:
+                hits = scan(batch.column(batch.schema.get_field_index(text)), piece.value)[1]
+                return {None: [r not in hits for r in range(len(batch))]}
+
+            docs = map_texts(docs, clean, [], text, None if not last else keep, SHARD_BYTES)
+            continue
         columns = [c for c in keep if c not in new]
         docs = map_texts(docs, work, FIELDS, text, columns if last else [*dict.fromkeys([*columns, text])], SHARD_BYTES)
     return docs

@@ -170,6 +170,6 @@ def map_texts(
                     kind = arrow.field(f.name).type
                     arrays.append(values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind))
                 out = pa.RecordBatch.from_arrays(arrays, schema=arrow)
-                yield out if mask is None else out.filter(pa.array(mask))
+                yield out if mask is None else out.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(run, schema)
