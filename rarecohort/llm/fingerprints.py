@@ -12,6 +12,7 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,7 +212,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``fingerprint``; null texts have that of the empty text."""
 
     @F.pandas_udf("string")
-    def of(column):
+    def of(column: pd.Series) -> pd.Series:
         return column.map(lambda t: PrefixHash(t or "").fingerprint())
 
     return docs.withColumn("fingerprint", of(F.coalesce(F.col(text), F.lit(""))))
@@ -219,8 +220,6 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def longest_extensions(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Adds ``common_prefix``: equal code points at the start of two text columns; null counts as empty."""
-    import pandas as pd
-
     @F.pandas_udf("bigint")
     def of(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([PrefixHash(s).common(0, PrefixHash(t), 0) for s, t in zip(x, y)], dtype="int64")
