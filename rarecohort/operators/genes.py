@@ -26,8 +26,8 @@ from rarecohort.operators.filters import is_rare
 
 
 def cohort_size(cohort: DataFrame) -> DataFrame:
-    """One row: number of patients before any filter."""
-    return cohort.select("Patient_ID").distinct().agg(F.count(F.lit(1)).alias("n_patients"))
+    """One row: number of patients before any filter; a null is none."""
+    return cohort.select("Patient_ID").filter("Patient_ID IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_patients"))
 
 
 def patients(n_patients: int | DataFrame) -> Column:
