@@ -90,9 +90,9 @@ def _spans(text: Column, kind: str) -> Column:
     # The state holds the end of the last match and the spans so far.
     empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
 
-    def step(state: Column, i: Column) -> Column:
-        s = F.get(found, i)
-        start = state["at"] + F.length(F.get(pieces, i))
+    def step(state: Column, pair: Column) -> Column:
+        s = pair["s"]
+        start = state["at"] + F.length(pair["p"])
         end = start + F.length(s)
         span = F.struct(
             F.lit(kind).alias("kind"),
@@ -104,7 +104,9 @@ def _spans(text: Column, kind: str) -> Column:
         spans = F.when(_confirm(kind, s), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(end.cast("bigint").alias("at"), spans.cast(_SPAN).alias("spans"))
 
-    walk = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), empty, step, lambda s: s["spans"])
+    # Zipped, so that the text is matched once and not at each step; the last piece has no match.
+    pairs = F.filter(F.zip_with(found, pieces, lambda s, p: F.struct(s.alias("s"), p.alias("p"))), lambda x: x["s"].isNotNull())
+    walk = F.aggregate(pairs, empty, step, lambda s: s["spans"])
     return F.when(F.size(found) > 0, walk).otherwise(F.array().cast(_SPAN))
 
 
