@@ -7,12 +7,13 @@ row gives ``l_linenumber % 3 + 1`` transcript rows, numbered by ``k``.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarecohort.model import CSQ_COLUMNS, FORMAT_COLUMNS
-from rarecohort.sources.staging import stage
+from rarecohort.sources.staging import shared_folder, stage
 
 COLUMNS_SQL = {
     "Patient_ID": "concat('PATIENT_', lpad(CAST(l_suppkey AS STRING), 5, '0'))",
@@ -170,3 +171,39 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vcf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header and record lines of all patients, written once as text would be."""
     return stage(header_lines(spark, sf_dir).unionByName(record_lines(spark, sf_dir)), "vcf_text")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def vcf_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one ``.vcf`` file per patient, header first.
+
+    Spark names its files itself, so they are renamed; a patient is one file and so one task.
+    """
+    folder = new_folder(spark, "vcf_files")
+    lines = header_lines(spark, sf_dir).withColumn("k", F.lit(0)).unionByName(record_lines(spark, sf_dir).withColumn("k", F.lit(1)))
+    lines = lines.repartition("Patient_ID").sortWithinPartitions("Patient_ID", "k").drop("k")
+    lines.write.partitionBy("Patient_ID").text(f"{folder}/parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path(f"{folder}/parts/Patient_ID=*/part-*")):
+        patient = status.getPath().getParent().getName().partition("=")[2]
+        fs.rename(status.getPath(), path(f"{folder}/{patient}.vcf"))
+    return folder
+
+
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A cohort folder whose files differ: text and numbers, an absent column, one that is null and of another type."""
+    folder = new_folder(spark, "mixed")
+    v = variants(spark, sf_dir)
+    numbers = {"GQ": F.col("GQ").cast("bigint"), "QUAL": F.col("QUAL").cast("double")}
+    shapes = [
+        lambda df: df.withColumn("POS", F.col("POS").cast("string")),
+        lambda df: df.drop("FLAGS", "gnomADg_AF_nfe").withColumns(numbers),
+        lambda df: df.withColumns({"FLAGS": F.lit(None).cast("int")}),
+    ]
+    for i, shape in enumerate(shapes):
+        shape(v.filter(F.expr(f"{PATIENT_NO} % 3 = {i}"))).write.mode("append").parquet(folder)
+    return folder

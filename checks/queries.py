@@ -11,7 +11,7 @@ from checks import fixtures as X
 from rarecohort.functions import annotation as AN
 from rarecohort.functions import genotype as GT
 from rarecohort.functions.genomics import bin_label
-from rarecohort.model import PATIENT_LOCUS
+from rarecohort.model import COLUMNS, PATIENT_LOCUS
 from rarecohort.operators import bins as B
 from rarecohort.operators import filters as FL
 from rarecohort.operators import genes as G
@@ -19,7 +19,7 @@ from rarecohort.operators import layout as L
 from rarecohort.operators import report as R
 from rarecohort.plans.analysis import Binning, analyse, bin_table, gene_table, variant_table
 from rarecohort.sources import vcf as V
-from rarecohort.sources.cohort import cohort_union
+from rarecohort.sources.cohort import cohort_union, read_cohort, write_parsed
 from rarecohort.sources.staging import stage
 
 MAX_AF = 0.01
@@ -77,11 +77,35 @@ def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _flat(parsed: DataFrame) -> DataFrame:
+    """The listed columns, and the whole map of others: its size and its two values."""
+    extras = [F.col("extras")[n].alias(n) for n in ("MIN_DP", "CANONICAL")]
+    return parsed.select(*[c for c in COLUMNS], *extras, F.size("extras").alias("n_extras"))
+
+
 @query
 def vcf_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = V.parse_lines(X.vcf_text(spark, sf_dir))
-    extras = [F.col("extras")[n].alias(n) for n in ("MIN_DP", "CANONICAL")]
-    return parsed.select(*[c for c in parsed.columns if c != "extras"], *extras)
+    return _flat(V.parse_lines(X.vcf_text(spark, sf_dir)))
+
+
+@query
+def vcf_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From files on disk, one per patient."""
+    return _flat(V.read_vcf(spark, X.vcf_files(spark, sf_dir)))
+
+
+@query
+def parsed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed, written by patient, and read back."""
+    folder = X.new_folder(spark, "parsed")
+    write_parsed(V.parse_lines(X.vcf_text(spark, sf_dir)), folder)
+    return _flat(read_cohort(spark, folder))
+
+
+@query
+def cohort_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder whose files differ in columns and types."""
+    return read_cohort(spark, X.mixed_folder(spark, sf_dir)).select(*X.COLUMNS_SQL)
 
 
 @query
@@ -136,6 +160,18 @@ _on(lambda v: R.sorted_genes(genes(v)), "gene_level_sorted")
 _on(loci, "variant_level")
 _on(lambda v: G.burden_long(FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0.01))), "burden_long")
 
+
+
+@query
+def burden_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes by all patients, as rows again: zeros are part of it."""
+    v = X.variants(spark, sf_dir)
+    # As many as the matrix has columns.
+    ids = sorted(r[0] for r in v.select("Patient_ID").distinct().collect())
+    matrix = G.burden_matrix(FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0.01)), ids)
+    return matrix.unpivot("Gene", ids, "Patient_ID", "variant_count")
+
+
 # --- bins --------------------------------------------------------------------------
 @query
 def gene_bounds_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,16 +95,38 @@ def test_carriage_returns(spark, tmp_path):
     assert [(r["POS"], r["PL"], r["SYMBOL"]) for r in rows] == [(100, "100,0,95", "TP53"), (200, "100,0,95", "TP53")]
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
+@pytest.mark.parametrize("limit", [64 << 20, 300])
 def test_each_file_by_its_own_header(spark, tmp_path, monkeypatch, limit):
-    """Both ways to bring the header to the line: broadcast and salted shuffle."""
-    monkeypatch.setattr(vcf, "MAX_BROADCAST_HEADERS", limit)
+    """Headers in one broadcast, and dealt to several: rows are equal, and no text is shuffled."""
+    monkeypatch.setattr(vcf, "MAX_HEADER_BYTES", limit)
     write(tmp_path, "a.vcf", [header(FIELDS), record()])
     write(tmp_path, "b.vcf", [header(FIELDS[::-1]), record(info="CSQ=TP53|HIGH|stop_gained|T")])
     write(tmp_path, "c.vcf", [CHROM_LINE, record()])
     a, b, c = parse(spark, tmp_path)
     assert [a[f] for f in FIELDS] == [b[f] for f in FIELDS] == ["T", "stop_gained", "HIGH", "TP53"]
     assert all(c[f] is None for f in FIELDS) and c["GT"] == "0/1"
+    plan = vcf.read_vcf(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == (1 if limit > 300 else 2)
+
+
+def test_same_name_in_two_folders(spark, tmp_path):
+    """Each file is read by its own header; one patient in two files must be stated."""
+    folders = [tmp_path / "v1", tmp_path / "v2"]
+    for folder, fields, csq in zip(folders, (FIELDS, FIELDS[::-1]), ("T|x|HIGH|TP53", "TP53|HIGH|x|T")):
+        folder.mkdir()
+        write(folder, "a.vcf", [header(fields), record(info=f"CSQ={csq}")])
+    with pytest.raises(ValueError, match="patient"):
+        vcf.read_vcf(spark, [str(f) for f in folders])
+    rows = vcf.read_vcf(spark, [str(f) for f in folders], split_patients=True).collect()
+    assert [(r["Patient_ID"], r["SYMBOL"], r["IMPACT"]) for r in rows] == [("a", "TP53", "HIGH")] * 2
+
+
+def test_unreadable_quality_is_kept(spark, tmp_path):
+    write(tmp_path, "a.vcf", [header(FIELDS), record(QUAL="high"), record(QUAL=".", POS="200")])
+    first, second = parse(spark, tmp_path)
+    assert (first["QUAL"], first["extras"]) == (None, {"QUAL": "high"})
+    assert (second["QUAL"], second["extras"]) == (None, None)
 
 
 def test_last_header_of_a_file_counts(spark, tmp_path):
