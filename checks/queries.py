@@ -59,11 +59,6 @@ def loci(v: DataFrame) -> DataFrame:
     return variant_table(v, MAX_AF)
 
 
-def _staged(table: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """A result table that is written before several steps read it."""
-    return lambda v: stage(table(v), table.__name__)
-
-
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Rounds what two engines may compute with different last bits."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -206,20 +201,20 @@ def _placed(table: Callable[[DataFrame], DataFrame], v: DataFrame) -> DataFrame:
 
 @query
 def manhattan_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _staged(genes)(X.variants(spark, sf_dir))
+    table = stage(genes(X.variants(spark, sf_dir)), "genes")
     return L.with_cum_pos(table, L.chrom_offsets(table))
 
 
 _on(lambda v: _placed(overlap_bins, v), "manhattan_bins")
 _on(lambda v: _placed(loci, v), "manhattan_variants")
-_on(lambda v: _rounded(L.gene_rank_layout(_staged(genes)(v)), 9, "log_density"), "gene_rank_layout")
-_on(lambda v: _rounded(L.bin_rank_layout(_staged(overlap_bins)(v)), 9, "log_density"), "bin_rank_layout")
-_on(lambda v: L.chrom_bands(L.gene_rank_layout(_staged(genes)(v))), "gene_bands")
-_on(lambda v: L.chrom_bands(L.bin_rank_layout(_staged(overlap_bins)(v))), "bin_bands")
+_on(lambda v: _rounded(L.gene_rank_layout(genes(v)), 9, "log_density"), "gene_rank_layout")
+_on(lambda v: _rounded(L.bin_rank_layout(overlap_bins(v)), 9, "log_density"), "bin_rank_layout")
+_on(lambda v: L.chrom_bands(L.gene_rank_layout(genes(v))), "gene_bands")
+_on(lambda v: L.chrom_bands(L.bin_rank_layout(overlap_bins(v))), "bin_bands")
 _on(lambda v: L.chrom_bands(_placed(loci, v), "cum_pos"), "variant_bands")
-_on(lambda v: L.bubble_genes(_staged(genes)(v)), "bubble_genes")
-_on(lambda v: L.bubble_bins(_staged(fixed_bins)(v)), "bubble_bins")
-_on(lambda v: _rounded(L.bubble_variants(_staged(loci)(v)), 9, "bubble_size"), "bubble_variants")
+_on(lambda v: L.bubble_genes(genes(v)), "bubble_genes")
+_on(lambda v: L.bubble_bins(fixed_bins(v)), "bubble_bins")
+_on(lambda v: _rounded(L.bubble_variants(loci(v)), 9, "bubble_size"), "bubble_variants")
 _on(lambda v: _rounded(L.density_levels(genes(v)), 9, "level"), "reference_levels")
 _on(lambda v: _rounded(L.density_levels(fixed_bins(v)), 9, "level"), "reference_levels_bins")
 _on(lambda v: _rounded(L.frequency_levels(loci(v)), 9, "level"), "frequency_levels")

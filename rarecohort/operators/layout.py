@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from rarecohort.functions.genomics import contig_label, log_density
 from rarecohort.model import CHROMOSOME_GAP, chromosome_order, is_standard_contig
+from rarecohort.operators.ranks import global_rank
+from rarecohort.sources.staging import stage
 
 # --- fixed values: plot layout ---------------------------------------------------
 GENE_GAP_DIVISOR, BIN_GAP_DIVISOR, SMALLEST_GAP = 40, 80, 4
@@ -50,29 +52,22 @@ def rank_layout(df: DataFrame, position: str, divisor: int, ties: list[str]) ->
     """Integer slot ``rank_x`` per row: chromosome order, then position.
 
     Chromosomes are ``max(4, n // divisor)`` slots apart, n being all rows of
-    the table.  Rows on other contigs have no slot.  A chromosome holds at most
-    one row per gene (or bin of a gene), which bounds a window partition.
+    the table.  Rows on other contigs have no slot.  Rows are ranked over the
+    whole table, so that no task holds a chromosome.
     """
-    in_chrom = Window.partitionBy("CHROM").orderBy(position, *ties)
-    before = Window.orderBy(chromosome_order()).rowsBetween(Window.unboundedPreceding, -1)
+    other_last = F.when(chromosome_order() > 0, chromosome_order())
+    place = [other_last.asc_nulls_last(), F.col(position), *map(F.col, ties)]
+    ranked = global_rank(df, place, "__rank")
     rows = F.count(F.lit(1))
-    gap = df.agg(F.greatest(F.lit(SMALLEST_GAP).cast("bigint"), F.floor(rows / divisor))).scalar()
-    standard = df.filter(is_standard_contig())
-    starts = (
-        standard.groupBy("CHROM")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("gap", gap)
-        .select(
-            "CHROM",
-            F.coalesce(F.sum(F.col("n") + F.col("gap")).over(before), F.lit(0).cast("bigint")).alias("first_slot"),
-        )
-    )
+    gap = ranked.agg(F.greatest(F.lit(SMALLEST_GAP).cast("bigint"), F.floor(rows / divisor))).scalar()
+    standard = ranked.filter(is_standard_contig())
+    in_order = Window.orderBy(chromosome_order())  # at most 25 rows
+    gaps = standard.select("CHROM").distinct().select("CHROM", (F.row_number().over(in_order) - 1).alias("gaps"))
     return (
-        standard.withColumn("rank_in_chrom", F.row_number().over(in_chrom) - 1)
-        .join(F.broadcast(starts), "CHROM")
-        .withColumn("rank_x", F.col("first_slot") + F.col("rank_in_chrom"))
+        standard.join(F.broadcast(gaps), "CHROM")
+        .withColumn("rank_x", F.col("__rank") + F.col("gaps") * gap)
         .withColumn("log_density", log_density())
-        .drop("first_slot", "rank_in_chrom")
+        .drop("gaps", "__rank")
     )
 
 
@@ -101,7 +96,8 @@ def chrom_bands(layout: DataFrame, column: str = "rank_x") -> DataFrame:
 
 
 def bubble_size(df: DataFrame, column: str, base: float, scale: float, power: float | None = None) -> DataFrame:
-    """Adds bubble_size = base + (value / largest value)^power * scale."""
+    """Adds bubble_size = base + (value / largest value)^power * scale; stages the table, which is read twice."""
+    df = stage(df, "sized")
     top = F.greatest(df.agg(F.max(column)).scalar(), F.lit(1e-15))
     share = F.col(column) / top
     return df.withColumn(

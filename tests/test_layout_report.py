@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from rarecohort.operators import layout as L
 from rarecohort.operators import report as R
 
@@ -91,3 +93,22 @@ def test_consequence_breakdown(spark):
     assert rows == [("a", 1, 0, 2, 0), ("b", 1, 0, 0, 0)]
     many = spark.range(30).selectExpr("concat('t', lpad(id, 2, '0')) AS Consequence", "'LOW' AS IMPACT")
     assert [r[0] for r in R.consequence_breakdown(many).collect()] == [f"t{i:02d}" for i in range(18)]
+
+
+@pytest.mark.parametrize("values", [[], [3], [1, 1, 1, 1, 2], list(range(999, -1, -1)), [None, 5, None, 4]])
+def test_global_rank_and_median(spark, values):
+    """Ranks over partitions, ties and nulls included; the median read off them."""
+    import statistics
+
+    from pyspark.sql import functions as F
+
+    from rarecohort.operators.ranks import global_rank
+
+    df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(values)], "id int, density double").repartition(5)
+    rows = global_rank(df, [F.col("density").asc_nulls_last(), F.col("id")]).orderBy("rank").collect()
+    known = sorted((v, i) for i, v in enumerate(values) if v is not None)
+    nulls = [i for i, v in enumerate(values) if v is None]
+    assert [(r["rank"], r["id"]) for r in rows] == list(enumerate([i for _, i in known] + nulls))
+    summary = R.density_summary(df).first()
+    assert summary["n"] == len(values)
+    assert summary["median_density"] == (statistics.median(v for v, _ in known) if known else None)
