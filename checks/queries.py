@@ -195,8 +195,12 @@ _on(lambda v: L.chrom_offsets(genes(v)), "chrom_offsets")
 _on(lambda v: L.chrom_extent(genes(v)), "chrom_extent")
 
 
-def _placed(table: Callable[[DataFrame], DataFrame], v: DataFrame) -> DataFrame:
-    return L.with_cum_pos(table(v), L.chrom_offsets(genes(v)))
+def _placed_bins(v: DataFrame) -> DataFrame:
+    return analyse(v, [OVERLAP], MAX_AF).bins[OVERLAP]
+
+
+def _placed_variants(v: DataFrame) -> DataFrame:
+    return analyse(v, [], MAX_AF).variants
 
 
 @query
@@ -205,13 +209,13 @@ def manhattan_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.with_cum_pos(table, L.chrom_offsets(table))
 
 
-_on(lambda v: _placed(overlap_bins, v), "manhattan_bins")
-_on(lambda v: _placed(loci, v), "manhattan_variants")
+_on(_placed_bins, "manhattan_bins")
+_on(_placed_variants, "manhattan_variants")
 _on(lambda v: _rounded(L.gene_rank_layout(genes(v)), 9, "log_density"), "gene_rank_layout")
 _on(lambda v: _rounded(L.bin_rank_layout(overlap_bins(v)), 9, "log_density"), "bin_rank_layout")
 _on(lambda v: L.chrom_bands(L.gene_rank_layout(genes(v))), "gene_bands")
 _on(lambda v: L.chrom_bands(L.bin_rank_layout(overlap_bins(v))), "bin_bands")
-_on(lambda v: L.chrom_bands(_placed(loci, v), "cum_pos"), "variant_bands")
+_on(lambda v: L.chrom_bands(_placed_variants(v), "cum_pos"), "variant_bands")
 _on(lambda v: L.bubble_genes(genes(v)), "bubble_genes")
 _on(lambda v: L.bubble_bins(fixed_bins(v)), "bubble_bins")
 _on(lambda v: _rounded(L.bubble_variants(loci(v)), 9, "bubble_size"), "bubble_variants")
