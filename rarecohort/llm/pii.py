@@ -6,7 +6,7 @@ that the lengths of the pieces give the places of the matches in code points.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,13 @@ CONTEXT = {
 CONTEXT_BONUS = 0.1
 CONTEXT_CHARS = 40
 # ----------------------------------------------------------------------------------------
+#: Sums that are taken in one go.
+_SUMMED = 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _digits(s: Column) -> Column:
@@ -69,13 +76,11 @@ def _confirm(kind: str, s: Column) -> Column:
         parts = F.split(s, r"\.")
         return F.forall(parts, lambda p: F.coalesce(p.try_cast("int") <= 255, F.lit(False)))
     if kind == "card":
-        d = _digits(s)
-        return F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False)
+        return _let(_digits(s), lambda d: F.when(F.length(d).between(13, 19), luhn(d)).otherwise(False))
     if kind == "phone":
         return F.length(_digits(s)).between(9, 15)
     if kind == "iban":
-        tight = F.replace(s, F.lit(" "), F.lit(""))
-        return F.when(F.length(tight).between(15, 34), mod97(tight)).otherwise(False)
+        return _let(F.replace(s, F.lit(" "), F.lit("")), lambda t: F.when(F.length(t).between(15, 34), mod97(t)).otherwise(False))
     return F.lit(True)
 
 
@@ -83,57 +88,63 @@ _PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "iban": IBA
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint,text:string,score:double>>"
 
 
+def _running(sizes: Column) -> Column:
+    """Sums of an array up to each element, by blocks, so that no long array is copied at each element."""
+
+    def blocks_of(sizes: Column) -> Column:
+        count = F.ceil(F.size(sizes) / F.lit(_SUMMED)).cast("int")
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.slice(sizes, k * _SUMMED + 1, _SUMMED))
+
+    def add(sums: Column, x: Column) -> Column:
+        return F.concat(sums, F.array(F.element_at(sums, -1) + x))
+
+    zero = F.array(F.lit(0).cast("bigint"))
+    inner = F.transform(_let(sizes, blocks_of), lambda b: F.aggregate(b, zero, add))
+
+    def shifted(blocks: Column) -> Column:
+        bases = F.aggregate(blocks, zero, lambda sums, b: add(sums, F.element_at(b, -1)))
+        moved = lambda base: F.transform(blocks, lambda b, i: F.transform(F.slice(b, 2, _SUMMED), lambda x: x + F.get(base, i)))
+        return F.flatten(_let(bases, moved))
+
+    return _let(inner, shifted)
+
+
 def _spans(text: Column, kind: str) -> Column:
+    """Confirmed matches of a kind; all steps take time in proportion to the text."""
     pattern = F.lit(_PATTERNS[kind])
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    # The state holds the end of the last match and the spans so far.
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
 
-    def step(state: Column, pair: Column) -> Column:
+    def span(pairs: Column, ends: Column, i: Column) -> Column:
+        pair, end = F.get(pairs, i), F.get(ends, i)
         s = pair["s"]
-        start = state["at"] + F.length(pair["p"])
-        end = start + F.length(s)
-        span = F.struct(
+        around = F.concat(F.right(pair["p"], F.lit(CONTEXT_CHARS)), F.lit(" | "), F.left(F.get(pairs, i + 1)["p"], F.lit(CONTEXT_CHARS)))
+        bonus = F.when(F.rlike(around, F.lit(rf"(?i)\b(?:{CONTEXT[kind]})")), CONTEXT_BONUS).otherwise(0.0)
+        made = F.struct(
             F.lit(kind).alias("kind"),
-            start.cast("bigint").alias("start"),
-            end.cast("bigint").alias("end"),
+            (end - F.length(s)).alias("start"),
+            end.alias("end"),
             s.alias("text"),
-            F.lit(SCORES[kind]).alias("score"),
+            F.least(F.round(F.lit(SCORES[kind]) + bonus, 3), F.lit(1.0)).alias("score"),
         )
-        spans = F.when(_confirm(kind, s), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.cast("bigint").alias("at"), spans.cast(_SPAN).alias("spans"))
-
-    # Zipped, so that the text is matched once and not at each step; the last piece has no match.
-    pairs = F.filter(F.zip_with(found, pieces, lambda s, p: F.struct(s.alias("s"), p.alias("p"))), lambda x: x["s"].isNotNull())
-    walk = F.aggregate(pairs, empty, step, lambda s: s["spans"])
-    return F.when(F.size(found) > 0, walk).otherwise(F.array().cast(_SPAN))
+        return F.when(_confirm(kind, s), made)
 
+    def placed(pairs: Column) -> Column:
+        # The piece after the last match has none.
+        sizes = F.transform(pairs, lambda x: (F.length(x["p"]) + F.coalesce(F.length(x["s"]), F.lit(0))).cast("bigint"))
+        places = F.sequence(F.lit(0), F.size(pairs) - 2)
+        return F.filter(_let(_running(sizes), lambda ends: F.transform(places, lambda i: span(pairs, ends, i))), lambda x: x.isNotNull())
 
-def _scored(text: Column, spans: Column) -> Column:
-    """Adds the bonus where a context word stands within CONTEXT_CHARS before or after the span."""
-
-    def near(s: Column) -> Column:
-        start = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        around = F.concat(
-            F.substr(text, (start + 1).cast("int"), (s["start"] - start).cast("int")),
-            F.lit(" | "),
-            F.substr(text, (s["end"] + 1).cast("int"), F.lit(CONTEXT_CHARS)),
-        )
-        hits = reduce(
-            lambda c, k: F.when(s["kind"] == k, F.rlike(around, F.lit(rf"(?i)\b(?:{CONTEXT[k]})"))).otherwise(c),
-            KINDS,
-            F.lit(False),
-        )
-        return s.withField("score", F.least(F.round(s["score"] + F.when(hits, CONTEXT_BONUS).otherwise(0.0), 3), F.lit(1.0)))
+    def walk(found: Column) -> Column:
+        pairs = F.zip_with(found, F.split(text, pattern, -1), lambda s, p: F.struct(s.alias("s"), p.alias("p")))
+        return F.when(F.size(found) > 0, _let(pairs, placed)).otherwise(F.array().cast(_SPAN))
 
-    return F.transform(spans, near)
+    return _let(F.regexp_extract_all(text, pattern, F.lit(0)), walk)
 
 
 def find_pii(docs: DataFrame, text: str = "text", min_score: float = 0.0) -> DataFrame:
     """Adds ``pii``: spans (kind, start, end, text, score) by kind, then start, in code points.
 
-    ``min_score`` leaves out weaker spans.  Null and empty texts have none.
+    ``min_score`` leaves out weaker spans.  A context word within CONTEXT_CHARS before or
+    after a span, but not beyond the next match of its kind, raises its score.  Null and empty texts have none.
     Matches of a kind do not overlap, those of two kinds may; a match that fails
     its check is dropped and what it covers is not searched again.  Rows are
     judged one by one, so repeated rows, ties and empty tables need no rule;
@@ -141,13 +152,11 @@ def find_pii(docs: DataFrame, text: str = "text", min_score: float = 0.0) -> Dat
     """
     body = F.coalesce(F.col(text), F.lit(""))
     spans = F.concat(*[_spans(body, k) for k in KINDS])
-    found = docs.withColumn("pii", spans)
-    scored = F.when(F.size("pii") > 0, _scored(body, F.col("pii"))).otherwise(F.col("pii"))
-    return found.withColumn("pii", F.filter(scored, lambda s: s["score"] >= min_score))
+    return docs.withColumn("pii", F.filter(spans, lambda s: s["score"] >= min_score))
 
 
 def redact(docs: DataFrame, text: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The documents with each found span replaced by its kind in brackets."""
+    """The documents with each found span replaced by its kind in brackets; each replacement copies the text so far."""
     found = find_pii(docs, text, min_score)
     # Overlapping spans of two kinds: the one that starts first, then the longer one, wins.
     order = F.array_sort(

@@ -315,6 +315,15 @@ def test_pii_equals_brute_force(odd, docs):
             assert r.spans.startswith(joined)
 
 
+def test_pii_of_a_text_with_very_many_matches(spark):
+    text = " ".join(f"é mail u{i}@h{i % 97}.org, {i % 300}.1.2.3 or 4111 1111 1111 {1100 + i % 50}\n" for i in range(3000))
+    want = ",".join(f"{k}:{a}:{b}" for k, a, b in personal(text))
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.digest(pii.find_pii(table)).first().base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    spans = pii.find_pii(table).first().pii
+    assert all(text[s["start"] : s["end"]] == s["text"] for s in spans) and {s["score"] for s in spans if s["kind"] == "email"} == {1.0}
+
+
 def test_pii_context_check_digits_and_redaction(odd):
     row = pii.find_pii(odd).filter("doc_id = 13").first()
     assert [(s["kind"], s["text"], s["score"]) for s in row.pii] == [("phone", "+1 (487) 555-7209", 0.8), ("iban", "GB82 WEST 1234 5698 7654 32", 1.0)]
