@@ -9,8 +9,6 @@ window and its longest verbatim match.  No row is shuffled.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarecohort.llm.texts import ALNUM, Words, map_texts
+from rarecohort.sources.staging import stage
 
 #: Benchmark text that is searched in one pass.  A larger benchmark takes more
-#: passes over the documents, each with so much of it in a task's memory.
+#: passes over the documents, which are written in between, so that a task holds one piece.
 BENCHMARK_BYTES = 4 << 20
 #: Text of a shard.
 SHARD_BYTES = 4 << 20
@@ -66,14 +65,18 @@ class Suffixes:
         self.item_at = words.row_at
         classes: dict[bytes, int] = {}
         self.window = np.array([classes.setdefault(self.tokens[s : s + w].tobytes(), len(classes)) for s, w in zip(self.start, self.need)], np.int64)
-        self.holders: dict[int, set[str]] = defaultdict(set)
-        for c, k in zip(self.window, self.owner):
-            self.holders[int(c)].add(self.names[k])
+        by_window = np.argsort(self.window, kind="stable")
+        self.holders = self.owner[by_window]
+        self.holders_at = np.searchsorted(self.window[by_window], np.arange(len(classes) + 1))
         #: One suffix of each window, for the search of its places.
         self.one = np.unique(self.window, return_index=True)[1]
         self.shortest = int(self.need.min()) if len(self.need) else 0
         self.longest = int((self.end - self.start).max()) if len(self.start) else 0
 
+    def items_of(self, window: int) -> set[str]:
+        """The ids of the items that have a window."""
+        return {self.names[k] for k in self.holders[self.holders_at[window] : self.holders_at[window + 1]]}
+
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes in the order of their first ``depth`` tokens, by prefix doubling."""
@@ -178,7 +181,7 @@ def scan(column: pa.Array, suffixes: Suffixes) -> tuple[np.ndarray, dict[int, li
     for r, p in zip(row[hit], places[hit] - words.row_at[row[hit]]):
         hits.setdefault(int(r), []).append(int(p))
     for r, c in {(int(r), int(c)) for r, c in zip(row[of[where]], suffixes.window[which])}:
-        items.setdefault(r, set()).update(suffixes.holders[c])
+        items.setdefault(r, set()).update(suffixes.items_of(c))
 
     # The longest match of each suffix whose window occurs, and where: at its place in the order.
     live = np.flatnonzero(np.isin(suffixes.window, suffixes.window[q[found]]))
@@ -269,9 +272,10 @@ def find_leaks(
                 return {None: [r not in hits for r in range(len(batch))]}
 
             docs = map_texts(docs, clean, [], text, None if not last else keep, SHARD_BYTES)
-            continue
-        columns = [c for c in keep if c not in new]
-        docs = map_texts(docs, work, FIELDS, text, columns if last else [*dict.fromkeys([*columns, text])], SHARD_BYTES)
+        else:
+            columns = [c for c in keep if c not in new]
+            docs = map_texts(docs, work, FIELDS, text, columns if last else [*dict.fromkeys([*columns, text])], SHARD_BYTES)
+        docs = docs if last else stage(docs, "leaks")
     return docs
 
 
