@@ -1,19 +1,22 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-A token is a word's bucket: its ending gives a group, its hash a place in it.
+A token is a word: its ending gives a group, its hash tells it from all others.
+The vocabulary holds every word of the corpus with its count and grows with it.
 The network sees the classes of the two words before and the two after a token
-and gives the probability of the token's class; within a class, tokens follow
-their counts in the whole corpus.  The sum of the logarithms over all tokens of a
-document is its score.
-
-Every document takes part in the counts and in training: each task trains a
-copy on a masked share of the tokens of all its documents, the copies are averaged
-by tokens, and the average goes into the next round.
+and gives the probability of the token's class.  Within a class, a word's share
+depends on the classes of both neighbours, by counts in the whole corpus of each
+word beside each class.  The sum of the logarithms over all tokens of a document
+is its score.
+
+Every token takes part in the counts and in training: each round masks a share of
+the tokens, and together the rounds mask each token once.  Each task trains a
+copy on its documents, the copies are averaged by tokens, and the average
+goes into the next round.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,81 +26,216 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarecohort.llm.texts import NON_SPACE, Words, map_texts, mix, slices
+from rarecohort.sources.staging import stage
 
-GROUPS, PLACES = 32, 2048
-TOKENS = GROUPS * PLACES
-#: The most frequent tokens are classes of their own, each group's others are one class.
+GROUPS = 32
+#: The most frequent tokens are classes of their own, each group's others, and all unseen words of it, are one class.
 OWN = 96
 CLASSES = OWN + GROUPS
 HIDDEN, SIDE = 32, 2
 SLOTS = [*range(-SIDE, 0), *range(1, SIDE + 1)]
-#: Share of tokens that are predicted in each round of training.
-MASKED, ROUNDS = 0.1, 2
+#: Rounds of training; each predicts its own share of the tokens.
+ROUNDS = 2
 RATE, BATCH = 0.1, 2048
 #: Tokens scored at once, weights in a row of an average, tasks averaged together first.
 _CHUNK, _BLOCK, _SALTS = 4096, 4096, 64
+#: Counts that a task holds before it passes them on.
+_HELD = 4 << 20
+#: Weight of the counts without context beside those of a neighbour.
+PRIOR = 1.0
 
 _SHAPES = [(len(SLOTS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
 _SIZES = [int(np.prod(s)) for s in _SHAPES]
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token of each word, and the n + 1 bounds of the rows."""
+    """Token of each word (59 bits of its hash, then its group), and the n + 1 bounds of the rows."""
     words = Words(column, NON_SPACE)
     if not len(words.hashes):
-        return np.empty(0, np.int64), words.row_at
+        return np.empty(0, np.uint64), words.row_at
     last = words.low[words.ends - 1].astype(np.uint64)
     before = words.low[np.maximum(words.ends - 2, words.starts)].astype(np.uint64)
     group = mix(last * np.uint64(256) + before) % np.uint64(GROUPS)
-    return (group * np.uint64(PLACES) + words.hashes % np.uint64(PLACES)).astype(np.int64), words.row_at
+    return words.hashes // np.uint64(GROUPS) * np.uint64(GROUPS) + group, words.row_at
 
 
 @dataclass
 class WindowModel:
-    """Tables and weights, less than 2 MB at any size of the corpus."""
+    """Tables and weights.
+
+    The tables take 14 bytes for each word of the corpus, and 12 for each side, word and
+    class that stand together more than once.  The last GROUPS places of ``class_of``
+    and ``log_within`` are the unseen words.
+    """
 
+    vocabulary: np.ndarray
     class_of: np.ndarray
     log_within: np.ndarray
     weights: np.ndarray
+    #: Sorted keys of (word, side, class beside it), and how often each occurs.
+    pairs: np.ndarray
+    pair_counts: np.ndarray
+    #: By side, class beside and group: tokens, and different words.
+    totals: np.ndarray
+    kinds: np.ndarray
 
     def parts(self) -> list[np.ndarray]:
         cuts = np.cumsum(_SIZES)[:-1]
         return [w.reshape(s) for w, s in zip(np.split(self.weights, cuts), _SHAPES)]
 
+    def places(self, own: np.ndarray) -> np.ndarray:
+        """Where tokens stand in the tables."""
+        at, found = _find(self.vocabulary, own)
+        return np.where(found, at, len(self.vocabulary) + (own % np.uint64(GROUPS)).astype(np.int64))
+
+
+def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted table, and whether they are in it."""
+    at = np.searchsorted(table, values)
+    if not len(table):
+        return at, np.zeros(len(values), bool)
+    at = np.minimum(at, len(table) - 1)
+    return at, table[at] == values
+
+
+class _Counter:
+    """Counts of 64-bit keys, merged by sorting."""
+
+    def __init__(self):
+        self.keys, self.counts, self.loose, self.merged = [], [], 0, 0
 
-def token_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """How often each token stands in all documents; TOKENS numbers."""
-    schema = T.StructType([T.StructField("token", T.IntegerType()), T.StructField("n", T.LongType())])
+    def add(self, keys: np.ndarray) -> None:
+        one, n = np.unique(keys, return_counts=True)
+        self.keys.append(one)
+        self.counts.append(n)
+        self.loose += len(one)
+        if self.loose > max(self.merged, _HELD // 4):
+            self._merge()
+
+    def _merge(self) -> None:
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order][:1]))
+        self.keys, self.counts = [keys[order][first]], [np.add.reduceat(counts[order], first)]
+        self.loose, self.merged = 0, len(first)
+
+    def take(self, least: int = 0) -> pa.RecordBatch | None:
+        """The counts so far as rows, if there are more keys than ``least``."""
+        if self.merged + self.loose <= least:
+            return None
+        self._merge()
+        keys, counts = self.keys[0].view(np.int64), self.counts[0]
+        self.__init__()
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
+
+
+def _counted(docs: DataFrame, text: str, keys) -> DataFrame:
+    """(key, n) of all ``keys(column)`` over all documents."""
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches):
-        counts = np.zeros(TOKENS, np.int64)
+        counter = _Counter()
         for batch in batches:
             column = batch.column(0)
             for first, rows in slices(column):
-                counts += np.bincount(tokens(column.slice(first, rows))[0], minlength=TOKENS)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["token", "n"])
-
-    rows = docs.select(text).mapInArrow(run, schema).groupBy("token").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(TOKENS, np.int64)
-    for r in rows:
-        out[r["token"]] = r["n"]
-    return out
+                found = keys(column.slice(first, rows))
+                if len(found):
+                    counter.add(found)
+                full = counter.take(_HELD)
+                if full is not None:
+                    yield full
+        rest = counter.take()
+        if rest is not None:
+            yield rest
+
+    return docs.select(text).mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n"))
+
 
+def token_counts(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of the documents, sorted, and how often each occurs."""
+    schema = T.StructType([T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
-def new_model(counts: np.ndarray) -> WindowModel:
-    """Classes and in-class probabilities (each count plus one) from counts; random small weights."""
-    class_of = OWN + np.arange(TOKENS) // PLACES
-    top = np.lexsort((np.arange(TOKENS), -counts))[:OWN]
-    class_of[top] = np.arange(OWN)
-    smooth = counts + 1.0
+    def run(batches):
+        for batch in batches:
+            keys, counts = (np.asarray(batch.column(k)) for k in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=schema.names)
+
+    rows = _counted(docs, text, lambda column: tokens(column)[0]).mapInArrow(run, schema).collect()
+    own = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64)
+    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)
+    order = np.argsort(own)
+    return own[order], counts[order]
+
+
+def new_model(counted: tuple[np.ndarray, np.ndarray]) -> WindowModel:
+    """Classes and in-class probabilities from counts (one for the unseen words of a group); random small weights."""
+    own, counts = counted
+    class_of = np.concatenate((OWN + (own % np.uint64(GROUPS)).astype(np.int64), OWN + np.arange(GROUPS)))
+    top = np.lexsort((own, -counts))[:OWN]
+    class_of[top] = np.arange(len(top))
+    smooth = np.concatenate((counts, np.ones(GROUPS)))
     mass = np.bincount(class_of, smooth, CLASSES)
     log_within = np.log(smooth / mass[class_of]).astype(np.float32)
     draw = np.random.default_rng(7)
     weights = [draw.normal(0, 0.1, s).astype(np.float32) for s in _SHAPES]
     weights[1][:] = 0
-    weights[3][:] = np.log(mass / mass.sum())
-    return WindowModel(class_of.astype(np.int16), log_within, np.concatenate([w.ravel() for w in weights]))
+    # Fewer words than OWN leave classes without any.
+    weights[3][:] = np.log(np.maximum(mass, 1e-3) / mass.sum())
+    none = np.zeros((2, CLASSES + 1, GROUPS), np.int64)
+    flat = np.concatenate([w.ravel() for w in weights])
+    return WindowModel(own, class_of.astype(np.int16), log_within, flat, np.empty(0, np.int64), np.empty(0, np.int32), none, none)
+
+
+def _beside(places: np.ndarray, near: np.ndarray) -> list[np.ndarray]:
+    """Keys of tokens with the class before and the class after them."""
+    return [(places * 2 + side) * (CLASSES + 1) + near[:, SLOTS.index(d)] for side, d in enumerate((-1, 1))]
+
+
+def with_pairs(docs: DataFrame, model: WindowModel, text: str) -> WindowModel:
+    """The model with the counts of each word beside each class; words that are classes need none."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.class_of))
+    shape = model.totals.shape
+    fields = ["keys", "counts", "totals", "kinds"]
+    schema = T.StructType([T.StructField(n, T.BinaryType()) for n in fields])
+
+    def keys(column: pa.Array) -> np.ndarray:
+        own, row_at = tokens(column)
+        table = WindowModel(*shared.value, *[None] * 6)
+        places = table.places(own)
+        classes = table.class_of[places]
+        near, grouped = _windows(classes, row_at), classes >= OWN
+        return np.concatenate(_beside(places[grouped], near[grouped]))
+
+    def run(batches):
+        totals, kinds, class_of = np.zeros(shape, np.int64), np.zeros(shape, np.int64), shared.value[1]
+
+        def row(*arrays: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=fields)
+
+        none = np.empty(0, np.int64)
+        for batch in batches:
+            found, counts = (np.asarray(batch.column(k)) for k in range(2))
+            word, beside = found // (2 * (CLASSES + 1)), found % (CLASSES + 1)
+            cell = np.ravel_multi_index((found // (CLASSES + 1) % 2, beside, class_of[word] - OWN), shape)
+            totals += np.bincount(cell, counts, totals.size).astype(np.int64).reshape(shape)
+            kinds += np.bincount(cell, minlength=kinds.size).reshape(shape)
+            more = counts > 1
+            yield row(found[more], np.minimum(counts[more], 2**31 - 1).astype(np.int32), none, none)
+        yield row(none, none, totals, kinds)
+
+    # Rows reach the driver one partition after the other, so that it holds them once.
+    rows = stage(_counted(docs, text, keys).mapInArrow(run, schema), "pairs")
+    shared.unpersist()
+    found, counts, sums = [], [], [np.zeros(shape, np.int64), np.zeros(shape, np.int64)]
+    for r in rows.toLocalIterator():
+        found.append(np.frombuffer(r["keys"], np.int64))
+        counts.append(np.frombuffer(r["counts"], np.int32))
+        for total, part in zip(sums, (r["totals"], r["kinds"])):
+            if part:
+                total += np.frombuffer(part, np.int64).reshape(shape)
+    found, counts = np.concatenate(found or [np.empty(0, np.int64)]), np.concatenate(counts or [np.empty(0, np.int32)])
+    order = np.argsort(found)
+    return replace(model, pairs=found[order], pair_counts=counts[order], totals=sums[0], kinds=sums[1])
 
 
 def _windows(classes: np.ndarray, row_at: np.ndarray) -> np.ndarray:
@@ -122,21 +260,45 @@ def _forward(parts: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.
 
 def log_probabilities(model: WindowModel, own: np.ndarray, row_at: np.ndarray) -> np.ndarray:
     """log P(token | both sides) of every token."""
-    classes, parts = model.class_of[own], model.parts()
+    places, parts = model.places(own), model.parts()
+    classes = model.class_of[places]
     near, result = _windows(classes, row_at), np.empty(len(own))
-    for a in range(0, len(own), _CHUNK):
-        logits = _forward(parts, near[a : a + _CHUNK])[1]
-        logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[np.arange(len(logits)), classes[a : a + _CHUNK]]
-        result[a : a + _CHUNK] = picked - np.log(np.exp(logits, out=logits).sum(axis=1))
-    return result + model.log_within[own]
+    # No chunk goes over two documents: a product's rounding depends on the place in it, and equal texts score alike.
+    for start, end in zip(row_at, row_at[1:]):
+        for a in range(start, end, _CHUNK):
+            b = min(a + _CHUNK, end)
+            logits = _forward(parts, near[a:b])[1]
+            logits -= logits.max(axis=1, keepdims=True)
+            picked = logits[np.arange(b - a), classes[a:b]]
+            result[a:b] = picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return result + log_shares(model, places, near)
+
+
+def log_shares(model: WindowModel, places: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """log P(token | its class, both neighbours' classes): the mean of the shares beside each neighbour.
+
+    One is taken off each count, so that a single occurrence, which may be the scored one,
+    is no evidence for itself; what is taken off goes to the class by its counts without context.
+    """
+    result = np.zeros(len(places))
+    some = np.flatnonzero(model.class_of[places] >= OWN)
+    base, group = np.exp(model.log_within[places[some]].astype(float)), model.class_of[places[some]] - OWN
+    share = np.zeros(len(some))
+    for side, keys in enumerate(_beside(places[some], near[some])):
+        at, found = _find(model.pairs, keys)
+        seen = np.zeros(len(some))
+        seen[found] = model.pair_counts[at[found]] - 1
+        cell = (side, keys % (CLASSES + 1), group)
+        share += (seen + (model.kinds[cell] + PRIOR) * base) / (model.totals[cell] + PRIOR) / 2
+    result[some] = np.log(share)
+    return result
 
 
 class Trainer:
     """Adagrad on cross-entropy of masked tokens."""
 
     def __init__(self, model: WindowModel):
-        self.model = WindowModel(model.class_of, model.log_within, model.weights.copy())
+        self.model = replace(model, weights=model.weights.copy())
         self.squares = np.full(len(self.model.weights), 1e-3, np.float32)
         self.seen = 0
 
@@ -158,12 +320,12 @@ class Trainer:
         self.squares += g * g
         self.model.weights -= (RATE * g / np.sqrt(self.squares)).astype(np.float32)
 
-    def learn(self, own: np.ndarray, row_at: np.ndarray, seed: int) -> None:
-        """One pass over a share of the tokens that depends on the text alone."""
-        classes = self.model.class_of[own]
+    def learn(self, own: np.ndarray, row_at: np.ndarray, number: int) -> None:
+        """One pass over the tokens of a round, which depend on the text alone."""
+        classes = self.model.class_of[self.model.places(own)]
         near = _windows(classes, row_at)
-        drawn = mix(own.astype(np.uint64) * np.uint64(1_000_003) + np.arange(len(own), dtype=np.uint64) + np.uint64(seed << 40))
-        masked = np.flatnonzero(drawn < np.uint64(int(MASKED * 2**64)))
+        drawn = mix(own * np.uint64(1_000_003) + np.arange(len(own), dtype=np.uint64))
+        masked = np.flatnonzero(drawn % np.uint64(ROUNDS) == number)
         for a in range(0, len(masked), BATCH):
             at = masked[a : a + BATCH]
             self.step(near[at], classes[at])
@@ -190,7 +352,7 @@ def train_round(docs: DataFrame, model: WindowModel, text: str, number: int) ->
         for batch in batches:
             column = batch.column(0)
             for first, rows in slices(column):
-                trainer.learn(*tokens(column.slice(first, rows)), seed=number)
+                trainer.learn(*tokens(column.slice(first, rows)), number)
         if trainer.seen:
             w = trainer.model.weights
             parts = [w[k : k + _BLOCK].tobytes() for k in range(0, len(w), _BLOCK)]
@@ -203,10 +365,11 @@ def train_round(docs: DataFrame, model: WindowModel, text: str, number: int) ->
     copies = docs.select(text).mapInArrow(run, schema)
     some = copies.groupBy("block", "salt").applyInArrow(_average, schema)
     rows = some.groupBy("block").applyInArrow(_average, schema).orderBy("block").collect()
+    shared.unpersist()
     if not rows:
         return model
     weights = np.concatenate([np.frombuffer(r["part"], np.float32) for r in rows])
-    return WindowModel(model.class_of, model.log_within, weights)
+    return replace(model, weights=weights)
 
 
 def train(docs: DataFrame, text: str = "text") -> WindowModel:
@@ -214,7 +377,7 @@ def train(docs: DataFrame, text: str = "text") -> WindowModel:
     model = new_model(token_counts(docs, text))
     for number in range(ROUNDS):
         model = train_round(docs, model, text, number)
-    return model
+    return with_pairs(docs, model, text)
 
 
 def score(docs: DataFrame, model: WindowModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -228,8 +391,10 @@ def score(docs: DataFrame, model: WindowModel, text: str = "text", keep: list[st
 
     def work(batch: pa.RecordBatch) -> dict:
         own, at = tokens(batch.column(batch.schema.get_field_index(text)))
-        sums = np.concatenate(([0.0], np.cumsum(log_probabilities(shared.value, own, at))))[at]
-        total, n = np.diff(sums), np.diff(at)
+        n = np.diff(at)
+        total, some = np.zeros(len(n)), np.flatnonzero(n)
+        if len(some):  # each row by itself, so that equal texts score alike
+            total[some] = np.add.reduceat(log_probabilities(shared.value, own, at), at[some])
         return {"n_tokens": pa.array(n), "pll": pa.array(total), "pll_mean": pa.array(total / np.maximum(n, 1), mask=n == 0)}
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("pll", T.DoubleType()), T.StructField("pll_mean", T.DoubleType())]

@@ -196,6 +196,38 @@ def test_pseudo_likelihood(docs, odd):
     assert np.allclose(np.bincount(model.class_of, np.exp(model.log_within), lm.CLASSES), 1, atol=1e-3)
 
 
+def test_vocabulary_grows_and_words_see_their_neighbours(spark, docs):
+    many = [f"w{i}" for i in range(100_000)]
+    own, _ = lm.tokens(pa.array([" ".join(many)]))
+    assert len(np.unique(own)) == len(many)
+    # Fillers take the classes of single words; "xxng" and "yyng" share one and have neighbours of their own.
+    rows = [" ".join(many[k : k + 500]) for k in range(0, 100_000, 500)]
+    rows += [" ".join(f"f{i}" for i in range(96))] * 60 + ["f1 xxng f2", "f3 yyng f4"] * 20
+    model = lm.train(spark.createDataFrame([(t,) for t in rows], "text string"))
+    assert len(model.vocabulary) == len(many) + 98
+    total = lambda *x: lm.log_probabilities(model, *lm.tokens(pa.array(x))).sum()
+    assert total("f1 xxng f2", "f3 yyng f4") > total("f1 yyng f2", "f3 xxng f4") + 1
+    place = model.places(lm.tokens(pa.array(["xxng"]))[0])[0]
+    rest = np.flatnonzero(model.class_of == model.class_of[place])
+    assert len(rest) > 1
+    for text in ("f1 xxng f2", "f3 xxng f1", "w1 xxng", "xxng"):
+        own, at = lm.tokens(pa.array([text]))
+        near = lm._windows(model.class_of[model.places(own)], at)[text.split().index("xxng")]
+        assert math.isclose(np.exp(lm.log_shares(model, rest, np.tile(near, (len(rest), 1)))).sum(), 1, rel_tol=1e-4)
+
+
+def test_all_tokens_are_learnt_and_order_counts(docs):
+    rows = [r.text for r in docs.filter("n_chars < 5000").limit(60).collect()]
+    shuffled = [" ".join(_rng.sample(t.split(), len(t.split()))) for t in rows]
+    model = lm.train(docs)
+    mean = lambda x: lm.log_probabilities(model, *lm.tokens(pa.array(x))).mean()
+    assert mean(rows) > mean(shuffled)
+    trainer, (own, at) = lm.Trainer(model), lm.tokens(pa.array(rows))
+    for number in range(lm.ROUNDS):
+        trainer.learn(own, at, number)
+    assert trainer.seen == len(own)
+
+
 # --- 6 mixing ------------------------------------------------------------------------------
 def mixed(rows, tree, weights, fraction, epochs, seed=0):
     leaf = {}
