@@ -19,7 +19,18 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Length of the IBANs of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_COUNTRIES = "|".join(IBAN_LENGTHS.values())
+_BOUNDED = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, c in IBAN_LENGTHS.items())
+_BOUNDED = rf"(?:{_BOUNDED})(?![A-Za-z0-9])"
+# Countries without a known length take what follows, but no IBAN of a known one.
+IBAN = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_BOUNDED}|(?!{_COUNTRIES})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]|\x20(?!{_BOUNDED})[A-Z0-9]){{11,30}}+(?![A-Za-z0-9]))"
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "iban"]
 #: Score of a confirmed span, what a context word near it adds, and how far it may be.

@@ -364,6 +364,20 @@ def test_pii_context_check_digits_and_redaction(odd):
     assert pii.find_pii(odd.limit(0)).count() == 0
 
 
+def test_ibans_before_upper_case_and_digits(spark):
+    de, gb, fr, no = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "NO93 8601 1117 947"
+    cases = [
+        (f"IBAN {de} BIC COBADEFF.", [de]), (f"IBAN {de} BIC COBADEFFXXX now", [de]), ("DE89370400440532013000 EUR 50", ["DE89370400440532013000"]),
+        (f"{de} {gb} {fr} {no} 17", [de, gb, fr, no]), (f"XX12 CALL {gb} NOW", [gb]), (f"{de}1 {no}A DE89370400440532013001 EUR", []),
+        (f"PAY {fr}, OR", [fr]), (de, [de]),
+    ]
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [s["text"] for s in r.pii if s["kind"] == "iban"] for r in pii.find_pii(table).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+    clean = {r.doc_id: r.text for r in pii.redact(table.filter("doc_id = 1")).collect()}
+    assert clean[1] == "IBAN [iban] BIC COBADEFFXXX now"
+
+
 # --- 10 near-duplicates --------------------------------------------------------------------
 def grouped(rows, size, percent=80):
     sets, up = {}, {}
