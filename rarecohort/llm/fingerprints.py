@@ -86,28 +86,40 @@ class PrefixHash:
         return f"{self.n:x}.{step:x}.{one:08x}{two:08x}.{heads}.{''.join(back)}"
 
 
+def _blocks(marks: str, own: int, step: int, turn: int) -> list[int]:
+    """Hashes of the blocks between the marks at multiples of ``step``, from a grid of ``own``; comparable at equal places."""
+    width, prime = 8 * (step // own), MODULI[0][0]
+    sums = [0] + [int(marks[i - 8 : i], 16) for i in range(width, len(marks) + 1, width)]
+    return [(b - a * turn) % prime for a, b in zip(sums, sums[1:])]
+
+
 def likeness(x: str, y: str) -> float:
-    """Common prefix and suffix on the coarser grid, as a part of the longer text; 1 for equal texts."""
+    """Blocks of the coarser grid that are equal, as a part of the longer text; 1 for equal texts.
+
+    Blocks are compared at equal distances from the start, and from the end.
+    """
     if x == y:
         return 1.0
     (n, s, _, *xs), (m, t, _, *ys) = x.split("."), y.split(".")
     n, s, m, t = (int(v, 16) for v in (n, s, m, t))
-    step = max(s, t)
-
-    def shared(a: str, b: str) -> int:
-        low, high = 0, min(n, m) // step
-        while low < high:
-            middle = (low + high + 1) // 2
-            i, j = middle * step // s - 1, middle * step // t - 1
-            if a[8 * i : 8 * i + 8] == b[8 * j : 8 * j + 8]:
-                low = middle
-            else:
-                high = middle - 1
-        return low * step
-
     if not min(n, m):
         return 0.0
-    return min(shared(xs[0], ys[0]) + shared(xs[1], ys[1]), min(n, m)) / max(n, m)
+    step, (prime, base) = max(s, t), MODULI[0]
+    equal = []
+    # A longer suffix mark is its block and the shorter one, moved by a step.
+    for k, turn in enumerate((1, pow(base, step, prime))):
+        pairs = zip(_blocks(xs[k], s, step, turn), _blocks(ys[k], t, step, turn))
+        equal.append([i * step for i, (a, b) in enumerate(pairs) if a == b])
+
+    def covered(length: int) -> int:
+        """Code points of a text of that length in equal blocks, each counted once."""
+        total = end = 0
+        for a in sorted([*equal[0], *(length - i - step for i in equal[1])]):
+            total += max(0, a + step - max(a, end))
+            end = a + step
+        return total
+
+    return min(covered(n), covered(m)) / max(n, m)
 
 
 def _range_of(doc_id: Column, bounds: list[int]) -> Column:

@@ -177,6 +177,20 @@ def test_span_hashes_and_extensions(spark):
     assert [r.common_prefix for r in fingerprints.longest_extensions(pairs, "a", "b").collect()] == [2, 0, 0]
 
 
+def test_likeness_counts_all_equal_blocks():
+    of = lambda t: fingerprints.PrefixHash(t).fingerprint()
+    like = lambda a, b: fingerprints.likeness(of(a), of(b))
+    n = len(LONG)
+    ends = "#" + LONG[1:-1] + "#"
+    inner = LONG[: n // 10] + "#" + LONG[n // 10 + 1 : n * 9 // 10] + "#" + LONG[n * 9 // 10 + 1 :]
+    assert like(LONG, ends) > 0.85 and like(LONG, inner) > 0.85 and like(inner, ends) > 0.75
+    # The second text is longer at its end or at its start: the grids differ, or only the ends agree.
+    for more in (inner + "x" * n, "x" * n + inner):
+        assert 0.35 < like(LONG, more) == like(more, LONG) <= 0.5
+    other = " ".join(_rng.choice("abc") * 5 for _ in range(30_000))
+    assert like(LONG, other) == 0 and like("ab", "") == 0 and like("a" * 40, "a" * 90) <= 40 / 90
+
+
 # --- 5 pseudo-likelihood -------------------------------------------------------------------
 def test_pseudo_likelihood(docs, odd):
     start = lm.new_model(lm.token_counts(docs, "text"))
