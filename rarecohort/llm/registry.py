@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rarecohort.llm import fingerprints, leaks, lm, mixing, neardup, packing, pii, quality, shards, urls
+from rarecohort.llm import fingerprints, infill, leaks, lm, mixing, neardup, packing, pii, quality, rules, shards, urls
 from rarecohort.llm.sql import ORACLES  # noqa: F401
 
 
@@ -54,6 +54,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), size=4)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.digest(_read(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +75,8 @@ QUERIES = {
         op8_sharding,
         op9_pii,
         op10_near_duplicates,
+        op11_quality_rules,
+        op13_fill_in_middle,
     )
 } | {"pipeline": corpus_pipeline.run}
 if corpus_pipeline.ORACLE_SQL:
