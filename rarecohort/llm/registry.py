@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rarecohort.llm import fingerprints, infill, leaks, lm, mixing, neardup, packing, pii, quality, rules, shards, urls
+from rarecohort.llm import align, fingerprints, infill, leaks, lm, mixing, neardup, packing, pii, quality, rules, shards, urls
 from rarecohort.llm.sql import ORACLES  # noqa: F401
 
 
@@ -58,6 +58,10 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.digest(_read(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(_read(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(_read(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES = {
         op9_pii,
         op10_near_duplicates,
         op11_quality_rules,
+        op12_alignment,
         op13_fill_in_middle,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -1,0 +1,119 @@
+"""Tokenizer alignment against token lists of whole texts and overlaps by definition."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from rarecohort.llm import align
+
+_rng = random.Random(12)
+LONG = "".join(_rng.choice(["Alpha", "beta", " ", "  ", "é", "😀", "\n", "7", " the", " <s>", "'s", " ", "　", "\x1c", "\t "]) for _ in range(20_000))
+TEXTS = [
+    None, "", " ", "  ", "a", "a ", " a", "a  b\n\n c", "The quick, quick fox's 123 jumps.\n", "<|endoftext|> is text, <s> too </s> <unk> <0x41>", "▁ is lost", "a▁b and c",
+    "\x00 \x01", "é à  b　　c   d", "don't  stop\r\n\tnow", "x" * 3000, LONG, LONG, "́ combining é", "ﬁ ligature ½ Å", "日本語 の テキスト", "\n", "\n\n a",
+]
+
+
+def reference(texts):
+    a_side, b_side = align.ByteLevel(align.BYTE_BPE), align.Pieces(align.PIECE_BPE)
+    whole_a = Tokenizer.from_file(align.BYTE_BPE)
+    whole_a.encode_special_tokens = True
+    whole_b = SentencePieceProcessor(model_file=align.PIECE_BPE)
+    docs, totals = [], Counter()
+    for text in texts:
+        doc = {"n_a": 0, "n_b": 0, "n_groups": 0, "links": Counter(), "sha": ""}
+        docs.append(doc)
+        if not text:
+            continue
+        a, b = whole_a.encode(" " + text, add_special_tokens=False).ids, whole_b.encode(text)
+        if any(b"".join(s.bytes[i] for i in ids) != (" " + text).encode() for s, ids in ((a_side, a), (b_side, b))):
+            continue
+        ends = []
+        for side, ids in ((a_side, a), (b_side, b)):
+            at, e = 0, []
+            for i in ids:
+                at += len(side.bytes[i])
+                e.append(at)
+            ends.append(e)
+        i = j = 0
+        groups, ga, gb = [], [], []
+        while i < len(a) or j < len(b):
+            doc["links"][a[i], b[j]] += 1
+            x, y = ends[0][i], ends[1][j]
+            if not ga or ga[-1] != i:
+                ga.append(i)
+            if not gb or gb[-1] != j:
+                gb.append(j)
+            i, j = i + (x <= y), j + (y <= x)
+            if x == y:
+                groups.append(f"{','.join(str(a[k]) for k in ga)}|{','.join(str(b[k]) for k in gb)}")
+                ga, gb = [], []
+        doc |= {"n_a": len(a), "n_b": len(b), "n_groups": len(groups), "sha": hashlib.sha256(";".join(groups).encode()).hexdigest()}
+        totals.update(doc["links"])
+    top = Counter()
+    for (_, y), c in totals.items():
+        top[y] = max(top[y], c)
+    for doc in docs:
+        links = doc.pop("links")
+        doc["n_links"] = sum(links.values())
+        doc["n_best"] = sum(n for p, n in links.items() if totals[p] == top[p[1]])
+        doc["count_sum"] = sum(n * totals[p] for p, n in links.items())
+    return docs, totals
+
+
+@pytest.mark.parametrize("broadcast", [align.MAX_BROADCAST_PAIRS, 0])
+def test_equals_whole_texts(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(align, "MAX_BROADCAST_PAIRS", broadcast)
+    rows = [(i, t, 5, "mine") for i, t in enumerate(TEXTS)] + [(8, TEXTS[8], 5, "mine"), (None, "no id", 5, "mine")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n_a int, pairs string").repartition(3)
+    done, counts = align.align_tokenizers(table)
+    want, totals = reference([r[1] for r in rows])
+    assert {(r.a_id, r.b_id): r["count"] for r in counts.collect()} == dict(totals)
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    got = sorted((str(r.row.doc_id), r.groups_sha256, *[r[n] for n in names]) for r in done.collect())
+    assert got == sorted((str(r[0]), w["sha"], *[w[n] for n in names]) for r, w in zip(rows, want))
+    assert set(done.select("row.*").columns) == set(table.columns)
+
+
+def test_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    want, _ = reference([r.text for r in rows])
+    got = {r.doc_id: r for r in align.digest(docs).collect()}
+    for r, w in zip(rows, want):
+        assert got[r.doc_id].asDict() == {"doc_id": r.doc_id, "groups_sha256": w.pop("sha"), **w}
+
+
+def test_units_do_not_change_tokens():
+    aligner = align.Aligner(align.BYTE_BPE, align.PIECE_BPE)
+    assert aligner.splits
+    import pyarrow as pa
+
+    for t in [t for t in TEXTS if t and "▁" not in t]:
+        data, offsets = align.utf8(pa.array([" " + t]))
+        bounds = aligner.units(data, offsets)
+        units = [data[x:y].tobytes().decode() for x, y in zip(bounds, bounds[1:])]
+        flat = [[i for ids in s.encode(units) for i in ids] for s in aligner.sides]
+        assert flat[0] == aligner.sides[0].encoder.encode(" " + t, add_special_tokens=False).ids, t
+        assert flat[1] == aligner.sides[1].encoder.encode(t), t
+
+
+def test_forgetful_units_and_empty_tables(spark, monkeypatch):
+    import pyarrow as pa
+
+    column = pa.array([t for t in TEXTS])
+    one = align.align(column, align.Aligner(align.BYTE_BPE, align.PIECE_BPE))
+    monkeypatch.setattr(align, "KNOWN_UNITS", 2)
+    aligner = align.Aligner(align.BYTE_BPE, align.PIECE_BPE)
+    parts = [align.align(column.slice(k, 1), aligner) for k in range(len(column))]
+    assert one["groups_sha256"] == [p["groups_sha256"][0] for p in parts]
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    done, counts = align.align_tokenizers(empty)
+    assert done.count() == counts.count() == 0
+    assert align.digest(spark.createDataFrame([(1, None)], "doc_id long, text string")).first().asDict() == {
+        "doc_id": 1, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "n_best": 0, "count_sum": 0, "groups_sha256": ""
+    }
