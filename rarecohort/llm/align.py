@@ -12,6 +12,7 @@ Pairs are counted by ``Table.group_by`` in each slice, and Spark adds the partia
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,11 @@ from rarecohort.sources.staging import stage
 #: Vocabularies of the registered query; paths on every executor.
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Text that is aligned at once, or one longer text.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Distinct units of up to UNIT_BYTES that a task remembers the tokens of.
-KNOWN_UNITS, UNIT_BYTES = 300_000, 64
+KNOWN_UNITS, UNIT_BYTES = 400_000, 64
+#: Bytes of new units that are encoded as one text.
+RUN_BYTES = 8 << 10
 #: Pair counts (some 80 bytes each in a hash table) that are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_PAIRS = 1_000_000
 #: Join keys over which the documents of one pair are spread in that shuffle.
@@ -74,6 +77,9 @@ class ByteLevel:
     def encode(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.encoder.encode_batch_fast(units, add_special_tokens=False)]
 
+    def encode_runs(self, runs: list[str]) -> list[list[int]]:
+        return self.encode(runs)
+
 
 class Pieces:
     """A piece BPE with byte fallback that adds a space of its own."""
@@ -86,6 +92,7 @@ class Pieces:
         names = [p.id_to_piece(i) for i in range(size)]
         self.bytes = [bytes([int(n[3:5], 16)]) if p.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
         self.space = p.piece_to_id("▁")
+        self.lead = p.encode("a")
         texts = [n for i, n in enumerate(names) if not p.is_byte(i)]
         #: No piece spans a unit's end or the added space and other white space, so units can be encoded alone.
         self.splits = not any("▁" in n.lstrip("▁") or (len(n) > 1 and any(c in "\t\n\v\f" for c in n)) for n in texts)
@@ -101,6 +108,10 @@ class Pieces:
                 out[k] = out[k][1:]
         return out
 
+    def encode_runs(self, runs: list[str]) -> list[list[int]]:
+        """Ids of joined units; a word in front takes the added space."""
+        return [ids[len(self.lead) :] for ids in self.encoder.encode([f"a{r}" for r in runs], num_threads=1)]
+
 
 def _strings(prefixes: list[str], n: int) -> list[str]:
     return [f"{p}{i}" for p in prefixes for i in range(n)]
@@ -128,34 +139,71 @@ class Aligner:
         """Token lists of distinct units on both sides."""
         at = pc.index_in(distinct, value_set=self.known)
         new = distinct.filter(pc.is_null(at))
-        if len(new):
-            units = new.to_pylist()
-            made = [pa.array(s.encode(units), pa.list_(pa.int32())) for s in self.sides]
-            both = [pa.concat_arrays([old, own]) for old, own in zip(self.ids, made)]
-            place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).copy()
-            place[np.asarray(pc.is_null(at))] = len(self.known) + np.arange(len(new))
-            lists = [ids.take(pa.array(place)) for ids in both]
-            short = pc.less_equal(pc.binary_length(new), UNIT_BYTES)
-            if len(self.known) + len(new) > KNOWN_UNITS:
-                self.forget()
-            self.known = pa.concat_arrays([self.known, new.filter(short)])
-            self.ids = [pa.concat_arrays([old, own.filter(short)]) for old, own in zip(self.ids, made)]
-            return lists
-        return [ids.take(at) for ids in self.ids]
+        if not len(new):
+            return [ids.take(at) for ids in self.ids]
+        made = [self._encode_new(k, new) for k in range(len(self.sides))]
+        place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).copy()
+        place[np.asarray(pc.is_null(at))] = len(self.known) + np.arange(len(new))
+        lists = [pa.concat_arrays([old, own]).take(pa.array(place)) for old, own in zip(self.ids, made)]
+        short = pc.less_equal(pc.binary_length(new), UNIT_BYTES)
+        if len(self.known) + len(new) > KNOWN_UNITS:
+            self.forget()
+        self.known = pa.concat_arrays([self.known, new.filter(short)])
+        self.ids = [pa.concat_arrays([old, own.filter(short)]) for old, own in zip(self.ids, made)]
+        return lists
+
+    def _encode_new(self, k: int, new: pa.Array) -> pa.Array:
+        """Token lists of units that are not known.
+
+        Units behind which a new one may begin are joined to runs, which saves most of the
+        encoder's time, and the tokens dealt out again by their bytes.  Where they do not
+        end with the units, and for all other units, each is encoded alone.
+        """
+        side, lengths = self.sides[k], self.lengths[k]
+        data, offsets = utf8(new)
+        open_end = _sure_ends(data)[offsets[1:] - 1] if self.splits else np.zeros(len(new), dtype=bool)
+        joined = np.flatnonzero(open_end)
+        alone = np.flatnonzero(~open_end)
+        flat, counts = [], []
+        if len(joined):
+            text = new.take(pa.array(joined))
+            data, offsets = utf8(text)
+            run = offsets[:-1] // RUN_BYTES
+            first = np.concatenate((np.flatnonzero(np.diff(run, prepend=-1)), [len(text)]))
+            raw = data.tobytes()
+            ids = side.encode_runs([raw[offsets[x] : offsets[y]].decode() for x, y in zip(first, first[1:])])
+            flat = np.fromiter(chain.from_iterable(ids), np.int32)
+            ends = np.cumsum(lengths[flat])
+            until = np.searchsorted(ends, offsets[1:])
+            if len(ends) and ends[-1] == offsets[-1] and (ends[until] == offsets[1:]).all():
+                counts = np.diff(np.concatenate(([0], until + 1)))
+            else:
+                alone, joined, flat = np.arange(len(new)), joined[:0], np.empty(0, np.int32)
+        rest = side.encode(new.take(pa.array(alone)).to_pylist()) if len(alone) else []
+        values = np.concatenate([np.asarray(flat, np.int32), np.fromiter(chain.from_iterable(rest), np.int32)])
+        sizes = np.concatenate([np.asarray(counts, np.int64), np.array([len(r) for r in rest], np.int64)])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
+        back = np.empty(len(new), np.int64)
+        back[np.concatenate((joined, alone))] = np.arange(len(new))
+        return lists.take(pa.array(back))
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Offsets of the units: a new one begins at a white space behind something that surely is none."""
         if not self.splits:
             return offsets
-        space = _SPACES[data]
-        sure = ~space & ~_UNSURE[data]
-        # Beyond ASCII, what may end a white space character is left together.
-        one, two = np.zeros_like(data), np.zeros_like(data)
-        one[1:], two[2:] = data[:-1], data[:-2]
-        sure &= ~((data >= 0x80) & ((one == 0xC2) | np.isin(two, (0xE1, 0xE2, 0xE3))))
+        begin = np.zeros(len(data) + 1, dtype=bool)
         # Pieces may end in a carriage return, so none begins a unit.
-        begin = space[1:] & sure[:-1] & (data[1:] != 13)
-        return np.union1d(np.flatnonzero(begin) + 1, offsets)
+        begin[1:-1] = (_SPACES[data] & (data != 13))[1:] & _sure_ends(data)[:-1]
+        begin[offsets] = True
+        return np.flatnonzero(begin)
+
+
+def _sure_ends(data: np.ndarray) -> np.ndarray:
+    """Bytes that end a character which is no white space in any pattern; of those beyond ASCII, some are left out."""
+    sure = ~_SPACES[data] & ~_UNSURE[data]
+    one, two = np.zeros_like(data), np.zeros_like(data)
+    one[1:], two[2:] = data[:-1], data[:-2]
+    return sure & ~((data >= 0x80) & ((one == 0xC2) | (two == 0xE1) | (two == 0xE2) | (two == 0xE3)))
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
