@@ -10,23 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session, else a folder in the warehouse.
 
-    Both are shared by driver and executors, whatever the master is; a
-    folder of one machine never stands in.
+    The default warehouse is a folder of the driver's machine; executors elsewhere do
+    not share it, so it is an error unless everything runs in this process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local one")
+    return warehouse + "/_staged"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes a table once and reads it back.
+def stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Writes a table once and reads it back, by another session if that is given.
 
     Later uses neither repeat its plan nor depend on the executors that
     computed it, and the planner knows its real size.  The files stay until
     their folder is cleared, since lazy results may still read them.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
