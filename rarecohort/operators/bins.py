@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rarecohort.functions.annotation import impact_label
 from rarecohort.functions.genomics import bin_name, density
-from rarecohort.model import GENE
+from rarecohort.model import GENE, IMPACT_RANKS
 from rarecohort.operators.genes import patients
 
 _BOUNDS = ["gene_start", "gene_end"]
@@ -61,46 +61,112 @@ def _check(length: int, overlap: int, binning: str) -> None:
         raise ValueError(f"binning must be 'floor' or 'engine', got {binning!r}")
 
 
+def _fixed_bins(in_gene: DataFrame, bin_id: Column) -> DataFrame:
+    """Counts of bins that do not overlap: each observation lies in one."""
+    keys = [*GENE, *_BOUNDS, "bin_id"]
+    return (
+        in_gene.withColumn("bin_id", bin_id)
+        .groupBy("Patient_ID", *keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.max("impact_rank").alias("impact_rank"))
+        .groupBy(*keys)
+        .agg(
+            F.sum("n").alias("variant_count"),
+            F.max("impact_rank").alias("worst_impact_rank"),
+            F.count(F.lit(1)).alias("patient_count"),
+        )
+    )
+
+
+_RANKS = sorted(set(IMPACT_RANKS.values()))
+#: Running sums of a sweep: observations by impact rank, and patients.
+_SUMS = [*[f"n{r}" for r in _RANKS], "patients"]
+
+
+def _sweep_events(in_gene: DataFrame, first: Column, last: Column) -> DataFrame:
+    """What changes at which window of a gene: bin_id and a difference for each of _SUMS.
+
+    An observation adds one at its first window and takes it away behind its last.  The
+    windows of a patient are merged into disjoint runs first, so that each window counts a
+    patient once.  One exchange by patient and gene serves the folding and the merging.
+    """
+    own = ["Patient_ID", *GENE, *_BOUNDS]
+    folded = (
+        in_gene.select(*own, first.alias("first_id"), last.alias("last_id"), "impact_rank")
+        .repartition("Patient_ID", *GENE)
+        .groupBy(*own, "first_id", "last_id")
+        .agg(*[F.count_if(F.col("impact_rank") == r).alias(f"n{r}") for r in _RANKS])
+    )
+    # One patient's calls in one gene.
+    order = Window.partitionBy("Patient_ID", *GENE).orderBy("first_id", "last_id")
+    reach = F.max("last_id").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # A run of windows begins where nothing before reaches, and what is not reached so far ends with it:
+    # each row adds to the union the windows from ``fresh`` to its last one.
+    fresh = F.greatest("first_id", F.coalesce(F.col("reach") + 1, F.col("first_id")))
+    rows = folded.withColumn("reach", reach).withColumn("fresh", fresh)
+    zero = F.lit(0).cast("bigint")
+    counts = [F.col(f"n{r}") for r in _RANKS]
+    adds = F.when(F.col("fresh") <= F.col("last_id"), F.lit(1)).otherwise(0).cast("bigint")
+
+    def event(at: Column, *sums: Column) -> Column:
+        return F.struct(at.alias("bin_id"), *[s.alias(n) for s, n in zip(sums, _SUMS)])
+
+    events = F.array(
+        event(F.col("first_id"), *counts, zero),
+        event(F.col("last_id") + 1, *[-c for c in counts], zero),
+        event(F.col("fresh"), *[zero] * len(counts), adds),
+        event(F.col("last_id") + 1, *[zero] * len(counts), -adds),
+    )
+    return rows.select(*GENE, *_BOUNDS, F.inline(events))
+
+
+def _swept_bins(in_gene: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Counts of overlapping bins by a sweep over the windows of each gene.
+
+    No row is repeated for each window that holds it, whatever the ratio of length and
+    step: rows become four differences, those of a gene and window are added up, and running
+    sums along the gene give the counts between two changes.  Only then are windows written out.
+    """
+    keys = [*GENE, *_BOUNDS]
+    changes = _sweep_events(in_gene, first, last).groupBy(*keys, "bin_id").agg(*[F.sum(n).alias(n) for n in _SUMS])
+    # Windows at which something changes, at most those of the gene.
+    along = Window.partitionBy(*GENE).orderBy("bin_id")
+    runs = changes.select(
+        *keys,
+        "bin_id",
+        (F.lead("bin_id").over(along) - 1).alias("until"),
+        *[F.sum(n).over(along.rowsBetween(Window.unboundedPreceding, 0)).alias(n) for n in _SUMS],
+    )
+    total = sum((F.col(f"n{r}") for r in _RANKS[1:]), F.col(f"n{_RANKS[0]}"))
+    worst = F.greatest(*[F.when(F.col(f"n{r}") > 0, F.lit(r)).otherwise(0) for r in _RANKS])
+    return runs.filter(F.col("patients") > 0).select(
+        *keys,
+        F.explode(F.sequence("bin_id", "until")).alias("bin_id"),
+        total.alias("variant_count"),
+        worst.alias("worst_impact_rank"),
+        F.col("patients").alias("patient_count"),
+    )
+
+
 def bin_counts(in_gene: DataFrame, length: int, overlap: int = 0, binning: str = "floor") -> DataFrame:
     """Observations, distinct patients and worst impact per occupied bin.
 
-    ``in_gene`` comes from :func:`join_gene_bounds`.  Observations of a patient
-    that share all their windows are folded first; only the folded rows are
-    expanded into windows, so overlap multiplies few rows.  Each later level
-    aggregates before its shuffle.
+    ``in_gene`` comes from :func:`join_gene_bounds`.  Bins that overlap are
+    counted by a sweep (:func:`_swept_bins`), others by two groupings, the first of
+    which aggregates before its shuffle.
     """
     _check(length, overlap, binning)
     step = length - overlap
-    pos, start = F.col("POS"), F.col("gene_start")
-    per_patient = [F.sum("n").alias("n"), F.max("impact_rank").alias("impact_rank")]
-
-    if overlap == 0 and binning == "engine":
-        bin_id = (pos - start).cast("double") / F.lit(float(length))
+    pos, start, end = F.col("POS"), F.col("gene_start"), F.col("gene_end")
+    if overlap == 0:
+        ratio = (pos - start).cast("double") / F.lit(float(length))
+        bins = _fixed_bins(in_gene, ratio if binning == "engine" else _last_window(pos, start, step, "floor"))
     else:
-        bin_id = _last_window(pos, start, step, "floor" if overlap == 0 else binning)
-
-    keys = ["Patient_ID", *GENE, *_BOUNDS, "bin_id"]
-    rows = in_gene.withColumn("bin_id", bin_id).withColumn("n", F.lit(1).cast("bigint"))
-    if overlap > 0:
-        windows = F.sequence(F.col("first_id"), F.col("bin_id"))
-        rows = (
-            rows.withColumn("first_id", first_window(pos, start, length, step))
-            .groupBy(*keys, "first_id")
-            .agg(*per_patient)
-            .withColumn("bin_id", F.explode(windows))
-            .filter(start + F.col("bin_id") * step <= F.col("gene_end"))
-        )
+        # No window begins behind the gene's end.
+        last = F.least(_last_window(pos, start, step, binning), F.floor((end - start).cast("double") / F.lit(float(step))))
+        bins = _swept_bins(in_gene, first_window(pos, start, length, step), last)
     return (
-        rows.groupBy(*keys)
-        .agg(*per_patient)
-        .groupBy(*GENE, *_BOUNDS, "bin_id")
-        .agg(
-            F.sum("n").alias("variant_count"),
-            F.max("impact_rank").alias("worst_impact_rank"),
-            F.count(F.lit(1)).alias("patient_count"),
-        )
-        .withColumn("bin_start", start + F.col("bin_id") * step)
-        .withColumn("bin_end", F.least(F.col("bin_start") + (length - 1), F.col("gene_end")))
+        bins.withColumn("bin_start", start + F.col("bin_id") * step)
+        .withColumn("bin_end", F.least(F.col("bin_start") + (length - 1), end))
         .drop(*_BOUNDS, "bin_id")
     )
 
