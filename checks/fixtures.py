@@ -194,9 +194,12 @@ def vcf_files(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
-    """A cohort folder whose files differ: text and numbers, an absent column, one that is null and of another type."""
-    folder = new_folder(spark, "mixed")
+def mixed_folder(spark: SparkSession, sf_dir: str, parts: int = 3, folder: str | None = None, done: int = 0) -> str:
+    """A cohort folder whose files differ: text and numbers, an absent column, one that is null and of another type.
+
+    Of the three parts, those from ``done`` to ``parts`` are written.
+    """
+    folder = folder or new_folder(spark, "mixed")
     v = variants(spark, sf_dir)
     numbers = {"GQ": F.col("GQ").cast("bigint"), "QUAL": F.col("QUAL").cast("double")}
     shapes = [
@@ -204,6 +207,6 @@ def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
         lambda df: df.drop("FLAGS", "gnomADg_AF_nfe").withColumns(numbers),
         lambda df: df.withColumns({"FLAGS": F.lit(None).cast("int")}),
     ]
-    for i, shape in enumerate(shapes):
+    for i, shape in list(enumerate(shapes))[done:parts]:
         shape(v.filter(F.expr(f"{PATIENT_NO} % 3 = {i}"))).write.mode("append").parquet(folder)
     return folder

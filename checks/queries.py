@@ -13,6 +13,7 @@ from rarecohort.functions import genotype as GT
 from rarecohort.functions.genomics import bin_label
 from rarecohort.model import COLUMNS, PATIENT_LOCUS
 from rarecohort.operators import bins as B
+from rarecohort.operators import burden as BU
 from rarecohort.operators import filters as FL
 from rarecohort.operators import genes as G
 from rarecohort.operators import layout as L
@@ -72,6 +73,14 @@ def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def vcf_file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the heads of files on disk."""
+    return V.vcf_headers(V.vcf_heads(spark, X.vcf_files(spark, sf_dir))).select(
+        "Patient_ID", F.size("fields").cast("bigint").alias("n_fields"), F.array_join("fields", "|").alias("fields")
+    )
+
+
 def _flat(parsed: DataFrame) -> DataFrame:
     """The listed columns, and the whole map of others: its size and its two values."""
     extras = [F.col("extras")[n].alias(n) for n in ("MIN_DP", "CANONICAL")]
@@ -103,6 +112,15 @@ def cohort_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_cohort(spark, X.mixed_folder(spark, sf_dir)).select(*X.COLUMNS_SQL)
 
 
+@query
+def cohort_manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, planned from a manifest: one patient in three is added after it was made."""
+    folder, manifest = X.mixed_folder(spark, sf_dir, parts=2), X.new_folder(spark, "manifest")
+    read_cohort(spark, folder, manifests=[manifest])
+    X.mixed_folder(spark, sf_dir, parts=3, folder=folder, done=2)
+    return read_cohort(spark, folder, manifests=[manifest]).select(*X.COLUMNS_SQL)
+
+
 @query
 def parsed_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.parsed_row_counts(V.parse_lines(X.vcf_text(spark, sf_dir)))
@@ -157,14 +175,32 @@ _on(lambda v: G.burden_long(FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0
 
 
 
+def _burden(v: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The numbered patients of the cohort and the sparse matrix of qualifying variants."""
+    index = stage(BU.patient_index(v), "patient_index")
+    qualifying = FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0.01))
+    return index, stage(BU.burden_sparse(qualifying, index, block=block), "burden")
+
+
+@query
+def burden_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, sparse = _burden(X.variants(spark, sf_dir), 32)
+    return sparse.select("Gene", "block", *[F.array_join(c, ",").alias(c) for c in ("patients", "counts")])
+
+
+@query
+def burden_from_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, sparse = _burden(X.variants(spark, sf_dir), BU.BLOCK)
+    return BU.burden_rows(sparse, index)
+
+
 @query
 def burden_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genes by all patients, as rows again: zeros are part of it."""
-    v = X.variants(spark, sf_dir)
-    # As many as the matrix has columns.
-    ids = sorted(r[0] for r in v.select("Patient_ID").distinct().collect())
-    matrix = G.burden_matrix(FL.filter_cascade(FL.carriers(v), FL.cascade_steps(0.01)), ids)
-    return matrix.unpivot("Gene", ids, "Patient_ID", "variant_count")
+    index, sparse = _burden(X.variants(spark, sf_dir), BU.BLOCK)
+    cells = BU.burden_blocks(sparse, index.count()).select("Gene", "block", F.posexplode("counts").alias("k", "variant_count"))
+    at = F.col("block") * BU.BLOCK + F.col("k")
+    return cells.withColumn("patient_index", at).join(index, "patient_index").select("Gene", "Patient_ID", "variant_count")
 
 
 # --- bins --------------------------------------------------------------------------
