@@ -23,6 +23,8 @@ from rarecohort.sources.staging import stage
 BENCHMARK_BYTES = 4 << 20
 #: Text of a shard.
 SHARD_BYTES = 4 << 20
+#: Places and suffixes of equal windows that are extended at once.
+MAX_PAIRS = 1_000_000
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 MATCHES = T.ArrayType(
@@ -46,12 +48,12 @@ FIELDS = [
 class Suffixes:
     """Benchmark suffixes that hold a window, as word ids from 1 on."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         words = Words(pa.array([t for _, t in items], pa.string()), ALNUM)
         self.vocabulary, where, ids = np.unique(words.hashes, return_index=True, return_inverse=True)
         self.spelling = [words.word(i) for i in where]
         self.tokens = np.append(ids + 1, 0).astype(np.int64)
-        self.names = [str(i) for i, _ in items]
+        self.names = [None if i is None else str(i) for i, _ in items]
         starts, ends, need, owner = [], [], [], []
         for k in range(len(items)):
             a, b = int(words.row_at[k]), int(words.row_at[k + 1])
@@ -65,7 +67,8 @@ class Suffixes:
         self.item_at = words.row_at
         classes: dict[bytes, int] = {}
         self.window = np.array([classes.setdefault(self.tokens[s : s + w].tobytes(), len(classes)) for s, w in zip(self.start, self.need)], np.int64)
-        by_window = np.argsort(self.window, kind="stable")
+        #: Suffixes of one window, side by side.
+        self.by_window = by_window = np.argsort(self.window, kind="stable")
         self.holders = self.owner[by_window]
         self.holders_at = np.searchsorted(self.window[by_window], np.arange(len(classes) + 1))
         #: One suffix of each window, for the search of its places.
@@ -74,8 +77,8 @@ class Suffixes:
         self.longest = int((self.end - self.start).max()) if len(self.start) else 0
 
     def items_of(self, window: int) -> set[str]:
-        """The ids of the items that have a window."""
-        return {self.names[k] for k in self.holders[self.holders_at[window] : self.holders_at[window + 1]]}
+        """The ids of the items that have a window; an item without id has no name."""
+        return {self.names[k] for k in self.holders[self.holders_at[window] : self.holders_at[window + 1]]} - {None}
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -183,21 +186,40 @@ def scan(column: pa.Array, suffixes: Suffixes) -> tuple[np.ndarray, dict[int, li
     for r, c in {(int(r), int(c)) for r, c in zip(row[of[where]], suffixes.window[which])}:
         items.setdefault(r, set()).update(suffixes.items_of(c))
 
-    # The longest match of each suffix whose window occurs, and where: at its place in the order.
-    live = np.flatnonzero(np.isin(suffixes.window, suffixes.window[q[found]]))
-    s, most = suffixes.start[live], suffixes.end[live] - suffixes.start[live]
-    place = search(text, order, suffixes.tokens, s, most, after=False)
-    sides = [np.clip(place - d, 0, len(order) - 1) for d in (0, 1)]
-    lengths = [common(text, order[x], suffixes.tokens, s, most) for x in sides]
-    second = lengths[1] > lengths[0]
-    best, spot = np.where(second, lengths[1], lengths[0]), order[np.where(second, sides[1], sides[0])]
-    for k, length, t in zip(live, best, spot):
-        r, name = int(row[of[t]]), suffixes.names[suffixes.owner[k]]
-        first = int(suffixes.start[k] - suffixes.item_at[suffixes.owner[k]])
-        matches.setdefault(r, []).append((name, first, int(places[of[t]] - words.row_at[r]), int(length)))
+    for r, k, length, item_word, doc_word in _longest(text, where, suffixes.window[which], row[of[where]], places[of[where]] - words.row_at[row[of[where]]], suffixes):
+        matches.setdefault(int(r), []).append((suffixes.names[k], int(item_word), int(doc_word), int(length)))
     return n_words, hits, items, matches
 
 
+def _longest(text: np.ndarray, where: np.ndarray, window: np.ndarray, row: np.ndarray, doc_word: np.ndarray, suffixes: Suffixes) -> np.ndarray:
+    """The longest match of each row and item: row, item, length, first word in both; the first of equally long ones.
+
+    Every place of a window is extended along every suffix that begins with it, if it
+    cannot be extended to the left as well: then the place before it is the longer one.
+    """
+    best = np.empty((0, 5), np.int64)
+    many = suffixes.holders_at[window + 1] - suffixes.holders_at[window]
+    total = np.cumsum(many)
+    first = 0
+    while first < len(where):
+        last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + MAX_PAIRS, side="right")))
+        n = many[first:last]
+        place = np.repeat(np.arange(first, last), n)
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        suffix = suffixes.by_window[suffixes.holders_at[window[place]] + inner]
+        at, start, owner = where[place], suffixes.start[suffix], suffixes.owner[suffix]
+        left = (at > 0) & (start > suffixes.item_at[owner]) & (text[at - 1] == suffixes.tokens[start - 1])
+        place, at, start, owner, suffix = (x[~left] for x in (place, at, start, owner, suffix))
+        length = common(text, at, suffixes.tokens, start, suffixes.end[suffix] - start)
+        found = np.column_stack((row[place], owner, length, start - suffixes.item_at[owner], doc_word[place]))
+        best = np.concatenate((best, found))
+        best = best[np.lexsort((best[:, 4], best[:, 3], -best[:, 2], best[:, 1], best[:, 0]))]
+        new = np.ones(len(best), dtype=bool)
+        new[1:] = (best[1:, :2] != best[:-1, :2]).any(axis=1)
+        best, first = best[new], last
+    return best
+
+
 def _spans(points: list[int]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for p in sorted(set(points)):
@@ -211,7 +233,7 @@ def _spans(points: list[int]) -> list[tuple[int, int]]:
 def _passes(benchmark: DataFrame, item: str, text: str):
     """The benchmark in pieces of ``BENCHMARK_BYTES``, or one longer item."""
     piece, size = [], 0
-    rows = benchmark.select(F.col(item).cast("string"), F.col(text)).filter(F.col(text).isNotNull() & F.col(item).isNotNull())
+    rows = benchmark.select(F.col(item).cast("string"), F.col(text)).filter(F.col(text).isNotNull())
     for name, words in rows.toLocalIterator():
         if piece and size + len(words) > BENCHMARK_BYTES:
             yield piece
@@ -233,22 +255,25 @@ def find_leaks(
     """Finds every place where a document repeats ``window`` words of a benchmark item.
 
     Adds n_words, hit_spans (half-open word ranges inside some window), items
-    (ids, sorted) and matches (longest verbatim match of each benchmark suffix
-    in a shard, with both positions, if it has the window).  With ``drop``,
-    nothing is added and documents that hold a window are left out.
+    (ids, sorted) and matches (the longest verbatim match with each of these items, with both
+    positions; the first of equally long ones).  With ``drop``, nothing is added and documents that
+    hold a window are left out.
 
     An item of fewer words than the window, but not none, is one window.  Null
-    and empty texts have no words; null items and items without words match
-    nothing; an empty benchmark hits nothing.  Repeated rows are judged one by
+    and empty texts have no words; null texts of items and those without words match
+    nothing; an item without id hits, and is a match without name, but not among ``items``; an empty benchmark hits nothing.  Repeated rows are judged one by
     one, items that share a text are all named, extra columns pass through, and
     a result replaces a column of its name.
     """
     context = docs.sparkSession.sparkContext
     keep = docs.columns if keep is None else keep
     new = [f.name for f in FIELDS]
-    pieces = [context.broadcast(Suffixes(p, window)) for p in _passes(benchmark, item_id, "text")]
-    for number, piece in enumerate(pieces):
-        last = number == len(pieces) - 1
+    # One piece at a time on the driver and in the tasks, besides the next one's text.
+    pieces = _passes(benchmark, item_id, "text")
+    number, items = 0, next(pieces)
+    while items is not None:
+        after = next(pieces, None)
+        piece, last = context.broadcast(Suffixes(items, window)), after is None
 
         def work(batch: pa.RecordBatch, piece=piece, number=number, last=last) -> dict:
             n, hits, items, matches = scan(batch.column(batch.schema.get_field_index(text)), piece.value)
@@ -262,7 +287,8 @@ def find_leaks(
                     found = [tuple(m.values()) for m in before[2][r]] + found
                 out["hit_spans"].append([{"start": a, "end": b} for a, b in _spans(points)])
                 out["items"].append(sorted(names))
-                out["matches"].append([dict(zip(("item_id", "item_word", "doc_word", "length"), m)) for m in sorted(found)])
+                found = sorted(found, key=lambda m: (m[0] is None, *[x or 0 if m[0] is None else x for x in m]))
+                out["matches"].append([dict(zip(("item_id", "item_word", "doc_word", "length"), m)) for m in found])
             return out
 
         if drop:
@@ -275,7 +301,10 @@ def find_leaks(
         else:
             columns = [c for c in keep if c not in new]
             docs = map_texts(docs, work, FIELDS, text, columns if last else [*dict.fromkeys([*columns, text])], SHARD_BYTES)
-        docs = docs if last else stage(docs, "leaks")
+        if not last:
+            docs = stage(docs, "leaks")
+            piece.destroy()
+        number, items = number + 1, after
     return docs
 
 

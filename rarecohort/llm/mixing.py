@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rarecohort.llm.texts import fresh
 from rarecohort.sources.staging import stage
 
 #: Hex digits of the order key that are summed before single rows are: 4096 buckets a leaf.
@@ -115,12 +116,12 @@ def mix(
     last = last.unionAll(fitting.select(*tree, F.concat("bucket", F.lit("~")).alias("last")))
     ends = stage(plan.join(last.groupBy(*tree).agg(F.max("last").alias("last")), tree, "left"), "ends")
     # Back to the documents: a lookup by leaf and a comparison of keys.
-    names = {c: f"__{c}" for c in tree}
-    ends = ends.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("epochs").alias("__epochs"), F.col("last").alias("__last"))
-    same = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).cast("string"), F.lit("")) == F.col(n) for c, n in names.items()])
+    names = {c: fresh(docs.columns, f"__{c}") for c in [*tree, "epochs", "last"]}
+    ends = ends.select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = reduce(lambda a, b: a & b, [F.coalesce(F.col(c).cast("string"), F.lit("")) == F.col(names[c]) for c in tree])
     own = docs.withColumn("n_tokens", tokens).drop("copies").join(ends, same)
-    taken = F.coalesce(order_key(F.col(doc_id), F.col("__epochs"), seed) <= F.col("__last"), F.lit(False))
-    own = own.withColumn("copies", F.col("__epochs") + taken.cast("bigint")).drop(*names.values(), "__epochs", "__last")
+    taken = F.coalesce(order_key(F.col(doc_id), F.col(names["epochs"]), seed) <= F.col(names["last"]), F.lit(False))
+    own = own.withColumn("copies", F.col(names["epochs"]) + taken.cast("bigint")).drop(*names.values())
     return own.filter("copies > 0")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarecohort.llm.graph import components
-from rarecohort.llm.texts import NON_SPACE, Words, map_texts, mix, shingles, slices
+from rarecohort.llm.texts import NON_SPACE, Words, fresh, map_texts, mix, shingles, slices
 from rarecohort.sources.staging import checkpoint, stage
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^26 < 1e-6.
@@ -38,8 +38,8 @@ MISS = 1e-7
 #: Classes of a bucket that are compared in one block.
 BLOCK = 1024
 BLOCK_SHINGLES = 500_000
-#: Ids (8 bytes each) that are broadcast to pick texts; beyond it both sides are shuffled.
-MAX_BROADCAST_IDS = 500_000
+#: Classes (some 80 bytes each in a hash table) that are broadcast to pick texts; beyond it both sides are shuffled.
+MAX_BROADCAST_IDS = 300_000
 #: Side of the tiles in which a block is compared.
 _TILE = 256
 
@@ -136,12 +136,11 @@ def linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of which the full shingle sets reach the threshold, as edges (u, v)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    docs = _within(docs, checkpoint(ids))
+    texts = _texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
     for side in ("a", "b"):
-        pairs = pairs.join(docs.select(F.col("doc_id").alias(side), F.col("text").alias(f"t{side}")), side)
+        pairs = pairs.join(texts.select(F.col("rep").alias(side), F.col("text").alias(f"t{side}")), side)
 
     def work(batch: pa.RecordBatch) -> dict:
         h, at = zip(*(shingles(Words(batch.column(batch.schema.get_field_index(c)), NON_SPACE), size) for c in ("ta", "tb")))
@@ -157,10 +156,15 @@ def _verify(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     return map_texts(pairs, work, [T.StructField("link", T.BooleanType())], "ta", ["a", "b"]).filter("link").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _within(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents of some ids (one column ``id``, distinct), without a shuffle of all texts where the ids are few."""
-    few = ids.count() <= MAX_BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
+def _texts(docs: DataFrame, classes: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, text) of some classes, without a shuffle of all texts where they are few.
+
+    A class is found by the id and the text's hash of the row that stands for it, since an id may have several texts.
+    """
+    wanted = checkpoint(classes.select("rep", "doc_id", "version").join(reps, "rep"))
+    few = wanted.count() <= MAX_BROADCAST_IDS
+    rows = docs.withColumn("version", F.xxhash64("text")).join(F.broadcast(wanted) if few else wanted, ["doc_id", "version"])
+    return rows.select("rep", "text")
 
 
 def _first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -183,8 +187,8 @@ def _block_links(mixed: DataFrame, classes: DataFrame, docs: DataFrame, size: in
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     rows = mixed.select("bucket", "band", "rep", "component", own.alias("own"), other.alias("other"))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
-    bodies = _within(docs, checkpoint(mixed.select(F.col("rep").alias("id")).distinct())).groupBy("doc_id").agg(F.min("text").alias("text"))
-    rows = rows.join(classes.select("rep", "signature").join(bodies, F.col("rep") == F.col("doc_id")).drop("doc_id"), "rep")
+    bodies = _texts(docs, classes, mixed.select("rep").distinct()).groupBy("rep").agg(F.min("text").alias("text"))
+    rows = rows.join(classes.select("rep", "signature").join(bodies, "rep"), "rep")
     kind = mixed.schema["rep"].dataType
     schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
@@ -244,13 +248,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     """
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     looks = least_matches(percent)
-    signed = stage(signatures(docs, size, "text", ["doc_id"]), "signatures")
+    versions = docs.withColumn("version", F.xxhash64("text"))
+    signed = stage(signatures(versions, size, "text", ["doc_id", "version"]), "signatures")
     filled = signed.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
-    # The smallest id stands for all documents of a set.
+    # A class is named by a number of its own; the smallest id stands for all documents of a set.
     classes = checkpoint(
         filled.groupBy("set_id")
-        .agg(F.min(F.struct("doc_id", "signature", "n_shingles")).alias("x"))
-        .select("set_id", F.col("x.doc_id").alias("rep"), "x.signature", "x.n_shingles")
+        .agg(F.min(F.struct("doc_id", "version", "signature", "n_shingles")).alias("x"))
+        .select("set_id", "x.*", F.monotonically_increasing_id().alias("rep"))
     )
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substr("signature", b * 2 * ROWS + 1, F.lit(2 * ROWS)))))
     buckets = classes.select("rep", "n_shingles", band.alias("band", "bucket"))
@@ -259,25 +264,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str
     full = stage(buckets.join(leaders, "bucket"), "buckets")
     docs_of = docs.filter("doc_id IS NOT NULL")
     star = full.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    edges = stage(_verify(checkpoint(_prune(star, classes, looks)), docs_of, size, percent), "links")
+    edges = stage(_verify(checkpoint(_prune(star, classes, looks)), classes, docs_of, size, percent), "links")
     labels = checkpoint(components(edges))
     named = full.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "band", "rep", "n", "shingles", F.coalesce("component", "rep").alias("component"))
     named = stage(named, "named")
     split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
     mixed = named.join(split, "bucket")
     edges = edges.unionAll(stage(_block_links(mixed, classes, docs_of, size, percent), "links"))
-    # A document with two versions can be in two sets; its id then links them.
-    versions = filled.groupBy("doc_id").agg(F.count_distinct("set_id").alias("sets")).filter("sets > 1").select("doc_id")
-    twice = filled.join(versions, "doc_id").join(classes.select("set_id", "rep"), "set_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    labels = checkpoint(components(edges.unionAll(twice)))
-    of = classes.select("set_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    of = checkpoint(of)
-    out = signed.select("doc_id", "n_shingles", "set_id").join(of, "set_id", "left")
+    # A document with several versions can be in several sets; its id then links them.
+    several = filled.groupBy("doc_id").agg(F.count_distinct("set_id").alias("sets")).filter("sets > 1").select("doc_id")
+    twice = filled.select("doc_id", "set_id").join(several, "doc_id").join(classes.select("set_id", "rep"), "set_id").distinct()
+    first = twice.groupBy("doc_id").agg(F.min("rep").alias("u"))
+    labels = checkpoint(components(edges.unionAll(twice.join(first, "doc_id").select("u", F.col("rep").alias("v")))))
+    of = classes.select("set_id", "rep", "doc_id").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of = checkpoint(of.select("set_id", "component", "doc_id"))
+    smallest = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = signed.select("doc_id", "n_shingles", "set_id").join(of.select("set_id", "component").join(smallest, "component"), "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents without those that are not kept; all columns of ``docs`` and no other."""
-    gone = stage(near_duplicates(docs, size, percent, text, doc_id).filter("NOT kept").select(F.col("doc_id").alias("__gone")), "gone")
-    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col("__gone"), "left_anti")
+    name = fresh(docs.columns, "gone")
+    gone = stage(near_duplicates(docs, size, percent, text, doc_id).filter("NOT kept").select(F.col("doc_id").alias(name)), "gone")
+    return docs.join(gone, F.col(doc_id).cast("bigint") == F.col(name), "left_anti")

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from rarecohort.llm.texts import fresh
 from rarecohort.sources.staging import stage
 
-_PART, _ROW, _BEFORE = "__part", "__row", "__before"
-
 
 def text_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of a text, and one for its end; null counts as empty."""
@@ -34,10 +33,11 @@ def balanced_shards(docs: DataFrame, shards: int, order_by: list[str], size: Col
     """
     spark = docs.sparkSession
     slim = docs.withColumn("size", size).drop("shard", "slot")
+    part_name, row_name, before_name, offset_name, shift_name = (fresh(slim.columns, f"__{n}") for n in ("part", "row", "before", "offset", "shift"))
     keys = [F.col(c).asc_nulls_first() for c in order_by]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = slim.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    schema = T.StructType([*slim.schema.fields, *[T.StructField(n, T.LongType()) for n in (_PART, _ROW, _BEFORE)]])
+    schema = T.StructType([*slim.schema.fields, *[T.StructField(n, T.LongType()) for n in (part_name, row_name, before_name)]])
     arrow = to_arrow_schema(schema)
 
     def local_sums(batches):
@@ -54,20 +54,20 @@ def balanced_shards(docs: DataFrame, shards: int, order_by: list[str], size: Col
 
     # Written once: the ranges come from a sample, and a second run could draw others.
     summed = stage(ranged.mapInArrow(local_sums, schema), "sharded")
-    totals = summed.groupBy(_PART).agg(F.sum("size").alias("bytes")).orderBy(_PART).collect()
+    totals = summed.groupBy(part_name).agg(F.sum("size").alias("bytes")).orderBy(part_name).collect()
     whole = sum(t["bytes"] for t in totals)
     offsets = spark.createDataFrame(
-        list(zip([t[_PART] for t in totals], accumulate([0, *[t["bytes"] for t in totals]]))),
-        T.StructType([T.StructField(_PART, T.LongType()), T.StructField("__offset", T.LongType())]),
+        list(zip([t[part_name] for t in totals], accumulate([0, *[t["bytes"] for t in totals]]))),
+        T.StructType([T.StructField(part_name, T.LongType()), T.StructField(offset_name, T.LongType())]),
     )
-    prefix = F.col("__offset") + F.col(_BEFORE)
+    prefix = F.col(offset_name) + F.col(before_name)
     # Exact: a product of bytes and shards may not fit in 64 bits.
     cut = F.floor(prefix.cast("decimal(38,0)") * shards / F.lit(max(whole, 1)).cast("decimal(20,0)")).cast("int")
     # One row a partition, as many as spark.sql.shuffle.partitions.
-    placed = summed.join(F.broadcast(offsets), _PART).withColumn("shard", F.least(cut, F.lit(shards - 1)))
+    placed = summed.join(F.broadcast(offsets), part_name).withColumn("shard", F.least(cut, F.lit(shards - 1)))
     # The first row of each shard and the rows of each partition are few too.
-    pieces = placed.groupBy("shard", _PART).agg(F.count("*").alias("n"), F.min(_ROW).alias("low"))
-    counts = sorted((r["shard"], r[_PART], r["n"], r["low"]) for r in pieces.collect())
+    pieces = placed.groupBy("shard", part_name).agg(F.count("*").alias("n"), F.min(row_name).alias("low"))
+    counts = sorted((r["shard"], r[part_name], r["n"], r["low"]) for r in pieces.collect())
     base, out = 0, []
     for k, (shard, part, n, low) in enumerate(counts):
         base = 0 if not k or counts[k - 1][0] != shard else base
@@ -75,9 +75,9 @@ def balanced_shards(docs: DataFrame, shards: int, order_by: list[str], size: Col
         base += n
     shift = spark.createDataFrame(
         out,
-        T.StructType([T.StructField("shard", T.IntegerType()), T.StructField(_PART, T.LongType()), T.StructField("__shift", T.LongType())]),
+        T.StructType([T.StructField("shard", T.IntegerType()), T.StructField(part_name, T.LongType()), T.StructField(shift_name, T.LongType())]),
     )
-    slots = placed.join(F.broadcast(shift), ["shard", _PART]).withColumn("slot", F.col(_ROW) + F.col("__shift"))
+    slots = placed.join(F.broadcast(shift), ["shard", part_name]).withColumn("slot", F.col(row_name) + F.col(shift_name))
     return slots.select(*slim.columns, "shard", "slot")
 
 

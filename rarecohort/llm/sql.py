@@ -23,7 +23,7 @@ hits AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (
 points AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)),
 h AS (SELECT doc_id, count(*) AS n_hit FROM points GROUP BY doc_id),
 names AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits),
-m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM names GROUP BY doc_id)
+m AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM names GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN m USING (doc_id)

@@ -34,6 +34,14 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """The name, or with underscores behind it, that no column has in any letter case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values over all bits; one to one."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
