@@ -9,6 +9,7 @@ from rarecohort.functions.annotation import impact_label
 from rarecohort.functions.genomics import bin_name, density
 from rarecohort.model import GENE, IMPACT_RANKS
 from rarecohort.operators.genes import patients
+from rarecohort.operators.ranks import segment_rank
 
 _BOUNDS = ["gene_start", "gene_end"]
 
@@ -171,13 +172,16 @@ def bin_counts(in_gene: DataFrame, length: int, overlap: int = 0, binning: str =
     )
 
 
-def with_bin_index(bins: DataFrame) -> DataFrame:
+def with_bin_index(bins: DataFrame, ranged: bool = False) -> DataFrame:
     """1, 2, .. over the occupied bins of a gene in order of position.
 
     The window orders bins, not observations: a gene has at most its length
-    divided by the step of them, and in engine mode without overlap at most
-    its length in bases (some 2.5 million for the longest human gene).
+    divided by the step of them.  ``ranged`` numbers over ranges of the whole table
+    instead, at the cost of staging it, so that no task holds a gene whose
+    bins are as many as its bases.
     """
+    if ranged:
+        return segment_rank(bins, GENE, [F.col("bin_start")], "bin_index").withColumn("bin_index", (F.col("bin_index") + 1).cast("int"))
     order = Window.partitionBy(*GENE).orderBy("bin_start")
     return bins.withColumn("bin_index", F.row_number().over(order))
 
@@ -198,7 +202,9 @@ def bin_level(
     bins = bin_counts(in_gene, length, overlap, binning).withColumn(
         "bin_length_actual", F.col("bin_end") - F.col("bin_start") + 1
     )
-    return with_bin_index(bins).select(
+    # There bins start at every occupied position.
+    ranged = binning == "engine" and overlap == 0
+    return with_bin_index(bins, ranged).select(
         bin_name("CHROM", "SYMBOL", "bin_index").alias("bin_name"),
         "CHROM",
         "SYMBOL",

@@ -86,17 +86,27 @@ def variant_level(variants: DataFrame, n_patients: int | DataFrame) -> DataFrame
     )
 
 
+def _rare_calls(cohort: DataFrame, max_af: float) -> DataFrame:
+    """Rare carrier transcripts with a gene and a position."""
+    placed = is_carrier() & has_symbol() & F.col("CHROM").isNotNull() & F.col("POS").isNotNull()
+    return cohort.filter(placed).filter(is_rare(max_af))
+
+
 def observations(cohort: DataFrame, max_af: float) -> DataFrame:
     """Rare carrier calls, one row per patient, locus and gene, with worst impact.
 
     The base of gene and bin statistics: hash aggregation with map-side
     combine folds the transcripts of a gene before anything is shuffled.
     """
+    return _rare_calls(cohort, max_af).groupBy(*PATIENT_LOCUS, "SYMBOL").agg(F.max(impact_rank()).alias("impact_rank"))
+
+
+def _worst_gene(rows: DataFrame, rank: Column) -> DataFrame:
     return (
-        cohort.filter(is_carrier() & has_symbol() & F.col("CHROM").isNotNull() & F.col("POS").isNotNull())
-        .filter(is_rare(max_af))
-        .groupBy(*PATIENT_LOCUS, "SYMBOL")
-        .agg(F.max(impact_rank()).alias("impact_rank"))
+        rows.filter(F.col("REF").isNotNull() & F.col("ALT").isNotNull())
+        .groupBy(*PATIENT_LOCUS_KEYS)
+        .agg(F.min(F.struct((-rank).alias("order_rank"), "SYMBOL")).alias("g"))
+        .select(*PATIENT_LOCUS, "g.SYMBOL", (-F.col("g.order_rank")).alias("impact_rank"))
     )
 
 
@@ -105,12 +115,16 @@ def gene_variants(obs: DataFrame) -> DataFrame:
 
     Loci with an unknown allele have no gene statistics.
     """
-    return (
-        obs.filter(F.col("REF").isNotNull() & F.col("ALT").isNotNull())
-        .groupBy(*PATIENT_LOCUS_KEYS)
-        .agg(F.min(F.struct((-F.col("impact_rank")).alias("order_rank"), "SYMBOL")).alias("g"))
-        .select(*PATIENT_LOCUS, "g.SYMBOL", (-F.col("g.order_rank")).alias("impact_rank"))
-    )
+    return _worst_gene(obs, F.col("impact_rank"))
+
+
+def gene_calls(cohort: DataFrame, max_af: float) -> DataFrame:
+    """``gene_variants(observations(..))`` in one grouping.
+
+    The worst transcript of a locus is that of its worst gene, so transcripts need not be
+    folded by gene first, where nothing else asks for that.
+    """
+    return _worst_gene(_rare_calls(cohort, max_af), impact_rank())
 
 
 def patient_gene_stats(variants: DataFrame) -> DataFrame:

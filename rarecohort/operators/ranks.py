@@ -28,3 +28,14 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
     sizes = staged.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))
     shift = sizes.select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")).alias("__before"))
     return staged.join(F.broadcast(shift), _PART).withColumn(name, F.col("__before") + row).drop(_ID, _PART, "__before")
+
+
+def segment_rank(df: DataFrame, segment: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """Adds 0, 1, .. inside each segment in the given order; a segment of any size is spread over the ranges.
+
+    Segments lie side by side in the order of the whole table, so a row's number is its rank
+    less the first of its segment; one row per segment is joined for that.  No segment may be null.
+    """
+    ranked = global_rank(df, [*map(F.col, segment), *order], name)
+    first = ranked.groupBy(*segment).agg(F.min(name).alias("__first"))
+    return ranked.join(first, segment).withColumn(name, F.col(name) - F.col("__first")).drop("__first")

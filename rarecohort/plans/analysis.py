@@ -35,8 +35,8 @@ class CohortTables:
 
 
 def gene_table(cohort: DataFrame, max_af: float) -> DataFrame:
-    """Gene statistics in one lazy plan."""
-    stats = G.patient_gene_stats(G.gene_variants(G.observations(cohort, max_af)))
+    """Gene statistics in one lazy plan: by patient and locus, by patient and gene, by gene."""
+    stats = G.patient_gene_stats(G.gene_calls(cohort, max_af))
     return G.gene_level(stats, G.cohort_size(cohort))
 
 
