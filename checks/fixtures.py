@@ -177,14 +177,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def vcf_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one ``.vcf`` file per patient, header first.
+def vcf_files(spark: SparkSession, sf_dir: str, where: str = "true") -> str:
+    """A folder with one ``.vcf`` file per patient of a condition, header first.
 
     Spark names its files itself, so they are renamed; a patient is one file and so one task.
     """
     folder = new_folder(spark, "vcf_files")
     lines = header_lines(spark, sf_dir).withColumn("k", F.lit(0)).unionByName(record_lines(spark, sf_dir).withColumn("k", F.lit(1)))
-    lines = lines.repartition("Patient_ID").sortWithinPartitions("Patient_ID", "k").drop("k")
+    lines = lines.filter(where).repartition("Patient_ID").sortWithinPartitions("Patient_ID", "k").drop("k")
     lines.write.partitionBy("Patient_ID").text(f"{folder}/parts")
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())

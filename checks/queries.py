@@ -20,7 +20,17 @@ from rarecohort.operators import layout as L
 from rarecohort.operators import report as R
 from rarecohort.plans.analysis import Binning, analyse, bin_table, gene_table, variant_table
 from rarecohort.sources import vcf as V
-from rarecohort.sources.cohort import cohort_union, read_cohort, write_parsed
+from rarecohort.sources.cohort import (
+    BIN_RESULT,
+    GENE_RESULT,
+    VARIANT_RESULT,
+    cohort_union,
+    read_cohort,
+    read_results,
+    write_parsed,
+    write_results,
+)
+from rarecohort.sources.increment import update_parsed
 from rarecohort.sources.staging import stage
 
 MAX_AF = 0.01
@@ -106,6 +116,16 @@ def parsed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_cohort(spark, folder))
 
 
+@query
+def parsed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of half the patients, brought up to date with files of the others."""
+    parsed, manifest = X.new_folder(spark, "parsed"), X.new_folder(spark, "manifest")
+    halves = [X.vcf_files(spark, sf_dir, f"right(Patient_ID, 1) {op} '5'") for op in ("<", ">=")]
+    update_parsed(spark, halves[0], parsed, manifest)
+    update_parsed(spark, halves, parsed, manifest)
+    return _flat(read_cohort(spark, parsed))
+
+
 @query
 def cohort_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A folder whose files differ in columns and types."""
@@ -276,6 +296,28 @@ def analysis_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.unionByName(overlap)
 
 
+def _written(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of a whole run as it is read back from its CSV files."""
+    result, folder = analyse(X.variants(spark, sf_dir), [OVERLAP], MAX_AF), X.new_folder(spark, "results")
+    write_results(folder, result.genes, result.bins[OVERLAP], result.variants)
+    return read_results(spark, folder)[table]
+
+
+@query
+def results_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, GENE_RESULT)
+
+
+@query
+def results_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, BIN_RESULT)
+
+
+@query
+def results_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, VARIANT_RESULT)
+
+
 # --- derived columns -----------------------------------------------------------------
 _KEY = [*PATIENT_LOCUS, "Feature"]
 

@@ -41,3 +41,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path itself, as Spark's own objects."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = file_system(spark, path)
+    return system.exists(where)
