@@ -179,6 +179,25 @@ _on(lambda v: FL.rarity(v, 0.01, "gnomADg_AF_nfe"), "rarity_population")
 _on(FL.exclude_flagged, "quality_region_filter")
 _on(lambda v: FL.filter_cascade(v, FL.cascade_steps(0.01)), "filter_cascade")
 _on(lambda v: FL.cascade_counts(v, FL.cascade_steps(0.01)), "filter_cascade_counts")
+
+
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variant table as it is stored with number columns."""
+    folder = X.new_folder(spark, "numbered")
+    write_parsed(X.variants(spark, sf_dir), folder, numbers=True)
+    return read_cohort(spark, folder)
+
+
+@query
+def rare_carriers_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FL.rare_carriers(_numbered(spark, sf_dir), MAX_AF).select(*X.COLUMNS_SQL)
+
+
+@query
+def filter_cascade_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FL.filter_cascade(_numbered(spark, sf_dir), FL.cascade_steps(0.01, typed=True)).select(*X.COLUMNS_SQL)
+
+
 _on(FL.standard_contigs, "standard_contigs")
 _on(FL.exclude_symbolic, "non_symbolic")
 _on(lambda v: FL.min_density(genes(v), 1e-6), "min_density_genes")

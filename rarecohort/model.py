@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,19 @@ def number(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).try_cast("double")
 
 
+#: Text columns that filters read as numbers.
+NUMERIC_TEXT = [c for c in COLUMNS if c.startswith("gnomADg_AF")] + ["DP", "GQ", "VAF"]
+
+
+def shadow(column: str) -> str:
+    """Name of the DOUBLE column that may stand beside a text column (see ``with_numbers``)."""
+    return f"{column}__number"
+
+
+def has_shadows(df: DataFrame, *columns: str) -> bool:
+    return all(shadow(c) in df.columns for c in columns)
+
+
 def is_standard_contig(column: str | Column = "CHROM") -> Column:
     return (F.col(column) if isinstance(column, str) else column).isin(CHROMOSOMES)
 

@@ -11,36 +11,49 @@ from pyspark.sql import functions as F
 
 from rarecohort.functions.annotation import has_symbol
 from rarecohort.functions.genotype import is_carrier
-from rarecohort.model import LOCUS, PSEUDOGENE_BIOTYPES, is_standard_contig, number
+from rarecohort.model import LOCUS, PSEUDOGENE_BIOTYPES, has_shadows, is_standard_contig, number, shadow
 
 
 # --- predicates --------------------------------------------------------------
-# Each parses a number once: a second mention would parse the text again.
+# Each parses a number once: a second mention would parse the text again.  With ``typed``
+# the DOUBLE column beside the text is read instead, in comparisons that reach the Parquet scan,
+# where NaN is what is greater than infinity.
+_INFINITY = float("inf")
+
+
 def _not_nan(column: str) -> Column:
     return F.nanvl(number(column), F.lit(None).cast("double"))
 
 
-def is_rare(max_af: float, af_col: str = "gnomADg_AF") -> Column:
+def is_rare(max_af: float, af_col: str = "gnomADg_AF", typed: bool = False) -> Column:
     """Frequency unknown, not a number, or at most ``max_af`` (NaN is dropped)."""
+    if typed:
+        value = F.col(shadow(af_col))
+        return value.isNull() | (value <= F.lit(max_af))
     return F.coalesce(number(af_col) <= F.lit(max_af), F.lit(True))
 
 
-def is_below(max_af: float, af_col: str = "gnomADg_AF") -> Column:
+def is_below(max_af: float, af_col: str = "gnomADg_AF", typed: bool = False) -> Column:
     """Frequency unknown, not a number (NaN included), or strictly below ``max_af``."""
+    if typed:
+        value = F.col(shadow(af_col))
+        return value.isNull() | (value < F.lit(max_af)) | (value > F.lit(_INFINITY))
     return F.coalesce(_not_nan(af_col) < F.lit(max_af), F.lit(True))
 
 
-def _at_least(column: str, minimum: float) -> Column:
+def _at_least(column: str, minimum: float, typed: bool = False) -> Column:
+    if typed:
+        value = F.col(shadow(column))
+        return value.isNotNull() & (value >= F.lit(minimum)) & (value <= F.lit(_INFINITY))
     return F.coalesce(_not_nan(column) >= F.lit(minimum), F.lit(False))
 
 
-def passes_technical(min_dp: float = 10, min_gq: float = 20, min_vaf: float = 0.2) -> Column:
-    return (
-        F.col("FILTER").eqNullSafe("PASS")
-        & _at_least("DP", min_dp)
-        & _at_least("GQ", min_gq)
-        & _at_least("VAF", min_vaf)
-    )
+_CALL_QUALITY = ("DP", "GQ", "VAF")
+
+
+def passes_technical(min_dp: float = 10, min_gq: float = 20, min_vaf: float = 0.2, typed: bool = False) -> Column:
+    dp, gq, vaf = (_at_least(c, m, typed) for c, m in zip(_CALL_QUALITY, (min_dp, min_gq, min_vaf)))
+    return F.col("FILTER").eqNullSafe("PASS") & dp & gq & vaf
 
 
 def has_biotype(biotype: str = "protein_coding") -> Column:
@@ -74,7 +87,7 @@ def has_coordinates(df: DataFrame, columns: list[str] = LOCUS) -> DataFrame:
 
 def rare(df: DataFrame, max_af: float, af_col: str = "gnomADg_AF") -> DataFrame:
     """Rarity of the cohort analysis (``<=``); a table without the column passes whole."""
-    return df.filter(is_rare(max_af, af_col)) if af_col in df.columns else df
+    return df.filter(is_rare(max_af, af_col, has_shadows(df, af_col))) if af_col in df.columns else df
 
 
 def rare_carriers(df: DataFrame, max_af: float) -> DataFrame:
@@ -95,7 +108,7 @@ def min_frequency(df: DataFrame, threshold: float) -> DataFrame:
 
 
 def technical_filter(df: DataFrame, min_dp: float = 10, min_gq: float = 20, min_vaf: float = 0.2) -> DataFrame:
-    return df.filter(passes_technical(min_dp, min_gq, min_vaf))
+    return df.filter(passes_technical(min_dp, min_gq, min_vaf, has_shadows(df, *_CALL_QUALITY)))
 
 
 def biotype_filter(df: DataFrame, biotype: str = "protein_coding") -> DataFrame:
@@ -110,7 +123,7 @@ def impact_filter(
 
 def rarity(df: DataFrame, max_af: float, af_col: str = "gnomADg_AF") -> DataFrame:
     """Rarity of the disease models (``<``), on the global or a population column."""
-    return df.filter(is_below(max_af, af_col))
+    return df.filter(is_below(max_af, af_col, has_shadows(df, af_col)))
 
 
 def exclude_flagged(df: DataFrame, biotypes: list[str] = PSEUDOGENE_BIOTYPES) -> DataFrame:
@@ -136,13 +149,17 @@ def cascade_steps(
     min_gq: float = 20,
     min_vaf: float = 0.2,
     keep_splice: bool = False,
+    typed: bool = False,
 ) -> Steps:
-    """The recommended order: quality, coding, impact, rarity, region quality."""
+    """The recommended order: quality, coding, impact, rarity, region quality.
+
+    ``typed`` is for tables with number columns beside the text (``has_shadows``).
+    """
     return [
-        ("technical", passes_technical(min_dp, min_gq, min_vaf)),
+        ("technical", passes_technical(min_dp, min_gq, min_vaf, typed)),
         ("protein_coding", has_biotype()),
         ("impact", has_impact(keep_splice=keep_splice)),
-        ("rarity", is_below(max_af, af_col)),
+        ("rarity", is_below(max_af, af_col, typed)),
         ("region_quality", is_unflagged()),
     ]
 

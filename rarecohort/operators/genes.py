@@ -21,7 +21,7 @@ from rarecohort.functions.annotation import (
 )
 from rarecohort.functions.genomics import density, gene_length
 from rarecohort.functions.genotype import is_carrier
-from rarecohort.model import GENE, LOCUS, LOCUS_KEYS, PATIENT_LOCUS, PATIENT_LOCUS_KEYS
+from rarecohort.model import GENE, LOCUS, LOCUS_KEYS, PATIENT_LOCUS, PATIENT_LOCUS_KEYS, has_shadows
 from rarecohort.operators.filters import is_rare
 
 
@@ -89,7 +89,7 @@ def variant_level(variants: DataFrame, n_patients: int | DataFrame) -> DataFrame
 def _rare_calls(cohort: DataFrame, max_af: float) -> DataFrame:
     """Rare carrier transcripts with a gene and a position."""
     placed = is_carrier() & has_symbol() & F.col("CHROM").isNotNull() & F.col("POS").isNotNull()
-    return cohort.filter(placed).filter(is_rare(max_af))
+    return cohort.filter(placed).filter(is_rare(max_af, typed=has_shadows(cohort, "gnomADg_AF")))
 
 
 def observations(cohort: DataFrame, max_af: float) -> DataFrame:
