@@ -1,55 +1,68 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
-A token is a word: its ending gives a group, its hash tells it from all others.
-The vocabulary holds every word of the corpus with its count and grows with it.
-The network sees the classes of the two words before and the two after a token
-and gives the probability of the token's class.  Within a class, a word's share
-depends on the classes of both neighbours, by counts in the whole corpus of each
-word beside each class.  The sum of the logarithms over all tokens of a document
-is its score.
-
-Every token takes part in the counts and in training: each round masks a share of
-the tokens, and together the rounds mask each token once.  Each task trains a
-copy on its documents, the copies are averaged by tokens, and the average
-goes into the next round.
+A token is a word.  Its key of 64 bits holds a group, made of the word's ending,
+and digits, made of its hash.  The network sees the classes of the two words
+before and the two after a token, and predicts the token from both sides: its
+class first, which is the word itself for the most frequent ones and else the
+group, and then one digit after the other.  The words that share all predicted
+digits make a cell and split its probability by their exact counts in the corpus.
+The sum of the logarithms over all tokens of a document is its score.
+
+What is gathered grows with the corpus: every word is counted, and the number of
+digits grows with the number of words.  The counts stay in Spark.  Tasks
+get the shares of the TOP words as a broadcast; each other word
+has less than 1 / TOP of all tokens, so that joining its occurrences has no hot key.
+
+Every token takes part in training: each round masks a share of the tokens, and
+together the rounds mask each token once.  Each task trains a copy on its
+documents, the copies are averaged by tokens, and the average goes into the
+next round.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarecohort.llm.texts import NON_SPACE, Words, map_texts, mix, slices
+from rarecohort.llm.texts import NON_SPACE, Words, fresh, map_texts, mix, slices
 from rarecohort.sources.staging import stage
 
-GROUPS = 32
-#: The most frequent tokens are classes of their own, each group's others, and all unseen words of it, are one class.
-OWN = 96
+GROUP_BITS, DIGIT_BITS = 5, 5
+GROUPS, DIGITS = 1 << GROUP_BITS, 1 << DIGIT_BITS
+#: The most frequent tokens are classes of their own; the others of each group are one class.
+OWN = 64
 CLASSES = OWN + GROUPS
-HIDDEN, SIDE = 32, 2
+HIDDEN, SIDE = 16, 2
 SLOTS = [*range(-SIDE, 0), *range(1, SIDE + 1)]
+#: Digits are added until a cell holds this many different words on average at most.
+CELL_WORDS, LEAST_DIGITS = 256, 2
+#: Beginnings (group and digits so far) with a bias of their own; more share rows by hash.
+ROWS = 1024
+#: Words whose shares are broadcast, 16 bytes each; the others are joined.
+TOP = 1 << 18
+#: Shares are added up as whole numbers of this size, so that sums do not depend on order.
+UNIT = 2.0**-32
 #: Rounds of training; each predicts its own share of the tokens.
 ROUNDS = 2
-RATE, BATCH = 0.1, 2048
+RATE, BATCH = 0.1, 8192
+#: Logits are cut here, where their powers still fit.
+HIGH = np.float32(60)
+#: Added to probabilities before their logarithm is taken.
+TINY = 1e-30
 #: Tokens scored at once, weights in a row of an average, tasks averaged together first.
-_CHUNK, _BLOCK, _SALTS = 4096, 4096, 64
+_CHUNK, _BLOCK, _SALTS = 4096, 16384, 64
 #: Counts that a task holds before it passes them on.
 _HELD = 4 << 20
-#: Weight of the counts without context beside those of a neighbour.
-PRIOR = 1.0
-
-_SHAPES = [(len(SLOTS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
-_SIZES = [int(np.prod(s)) for s in _SHAPES]
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Token of each word (59 bits of its hash, then its group), and the n + 1 bounds of the rows."""
+    """Key of each word (59 bits of its hash, then its group), and the n + 1 bounds of the rows."""
     words = Words(column, NON_SPACE)
     if not len(words.hashes):
         return np.empty(0, np.uint64), words.row_at
@@ -59,34 +72,68 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return words.hashes // np.uint64(GROUPS) * np.uint64(GROUPS) + group, words.row_at
 
 
+def digits_for(words: int) -> int:
+    """Digits to predict of a vocabulary of so many words."""
+    n = LEAST_DIGITS
+    while GROUPS * DIGITS**n * CELL_WORDS < words:
+        n += 1
+    return n
+
+
+def digit(keys: np.ndarray, level: int) -> np.ndarray:
+    """A digit of keys; it and the row below are the same in Spark's form, see ``_cell``."""
+    return ((keys >> np.uint64(GROUP_BITS + DIGIT_BITS * level)) % np.uint64(DIGITS)).astype(np.int64)
+
+
+def row_of(keys: np.ndarray, level: int) -> np.ndarray:
+    """Row of the bias for the group and the digits before ``level``."""
+    begin = keys & np.uint64((1 << GROUP_BITS + DIGIT_BITS * level) - 1)
+    return ((begin if level < 2 else mix(begin)) % np.uint64(ROWS)).astype(np.int64)
+
+
+def _shapes(depth: int) -> list[tuple]:
+    shapes = [(len(SLOTS) * (CLASSES + 1), HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+    for level in range(depth):
+        shapes += [(GROUPS, HIDDEN), (DIGITS, HIDDEN), (HIDDEN, DIGITS)]
+    return shapes
+
+
 @dataclass
 class WindowModel:
-    """Tables and weights.
-
-    The tables take 14 bytes for each word of the corpus, and 12 for each side, word and
-    class that stand together more than once.  The last GROUPS places of ``class_of``
-    and ``log_within`` are the unseen words.
-    """
+    """Weights, and the tables of bounded size that tasks need."""
 
-    vocabulary: np.ndarray
-    class_of: np.ndarray
-    log_within: np.ndarray
+    #: Sorted keys of the words that are classes, and their classes.
+    own: np.ndarray
+    own_class: np.ndarray
+    depth: int
     weights: np.ndarray
-    #: Sorted keys of (word, side, class beside it), and how often each occurs.
-    pairs: np.ndarray
-    pair_counts: np.ndarray
-    #: By side, class beside and group: tokens, and different words.
-    totals: np.ndarray
-    kinds: np.ndarray
+    #: Logarithms of the next digit's shares by row, of each level, from counts; they are not trained.
+    bias: list[np.ndarray]
+    #: Sorted keys of the TOP words, and the logarithms of their shares of their cells in UNITs.
+    top: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    top_share: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     def parts(self) -> list[np.ndarray]:
-        cuts = np.cumsum(_SIZES)[:-1]
-        return [w.reshape(s) for w, s in zip(np.split(self.weights, cuts), _SHAPES)]
+        """Views of the weights: embeddings, shift, out, bias; then, of each digit, gates of groups and of the digit before, and out."""
+        shapes = _shapes(self.depth)
+        cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
+        return [w.reshape(s) for w, s in zip(np.split(self.weights, cuts), shapes)]
 
-    def places(self, own: np.ndarray) -> np.ndarray:
-        """Where tokens stand in the tables."""
-        at, found = _find(self.vocabulary, own)
-        return np.where(found, at, len(self.vocabulary) + (own % np.uint64(GROUPS)).astype(np.int64))
+    def classes(self, keys: np.ndarray) -> np.ndarray:
+        at, found = _find(self.own, keys)
+        result = OWN + (keys % np.uint64(GROUPS)).astype(np.int64)
+        result[found] = self.own_class[at[found]]
+        return result
+
+
+@dataclass
+class Trained:
+    """A model, and (key, share) of all words of the corpus as a table."""
+
+    model: WindowModel
+    shares: DataFrame
+    #: By group, the share of a word that the corpus does not hold.
+    unseen: list[int]
 
 
 def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,8 +176,8 @@ class _Counter:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
 
 
-def _counted(docs: DataFrame, text: str, keys) -> DataFrame:
-    """(key, n) of all ``keys(column)`` over all documents."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(key, n) of every word of the documents, counted in tasks before the shuffle."""
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches):
@@ -138,7 +185,7 @@ def _counted(docs: DataFrame, text: str, keys) -> DataFrame:
         for batch in batches:
             column = batch.column(0)
             for first, rows in slices(column):
-                found = keys(column.slice(first, rows))
+                found = tokens(column.slice(first, rows))[0]
                 if len(found):
                     counter.add(found)
                 full = counter.take(_HELD)
@@ -151,184 +198,197 @@ def _counted(docs: DataFrame, text: str, keys) -> DataFrame:
     return docs.select(text).mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def token_counts(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of the documents, sorted, and how often each occurs."""
-    schema = T.StructType([T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+def _cell(depth: int) -> F.Column:
+    """Group and predicted digits of a key."""
+    return F.col("key").bitwiseAND(F.lit((1 << GROUP_BITS + DIGIT_BITS * depth) - 1))
 
-    def run(batches):
-        for batch in batches:
-            keys, counts = (np.asarray(batch.column(k)) for k in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=schema.names)
-
-    rows = _counted(docs, text, lambda column: tokens(column)[0]).mapInArrow(run, schema).collect()
-    own = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64)
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)
-    order = np.argsort(own)
-    return own[order], counts[order]
-
-
-def new_model(counted: tuple[np.ndarray, np.ndarray]) -> WindowModel:
-    """Classes and in-class probabilities from counts (one for the unseen words of a group); random small weights."""
-    own, counts = counted
-    class_of = np.concatenate((OWN + (own % np.uint64(GROUPS)).astype(np.int64), OWN + np.arange(GROUPS)))
-    top = np.lexsort((own, -counts))[:OWN]
-    class_of[top] = np.arange(len(top))
-    smooth = np.concatenate((counts, np.ones(GROUPS)))
-    mass = np.bincount(class_of, smooth, CLASSES)
-    log_within = np.log(smooth / mass[class_of]).astype(np.float32)
+
+def word_shares(words: DataFrame, own: list[int], depth: int) -> DataFrame:
+    """(key, n, share): log of each word's part of its cell in UNITs; one more count a cell is left for unseen words.
+
+    A word that is a class has the share 0 (it is alone) and is not counted in its cell.
+    """
+    named = F.col("key").isin(own)
+    cell = F.sum(F.when(named, 0).otherwise(F.col("n"))).over(Window.partitionBy("cell"))
+    share = F.when(named, 0.0).otherwise(F.log(F.col("n") / (F.col("total") + 1)))
+    counted = words.withColumn("cell", _cell(depth)).withColumn("total", cell)
+    return counted.select("key", "n", F.round(share / UNIT).cast("long").alias("share"))
+
+
+def new_model(words: DataFrame, depth: int | None = None) -> WindowModel:
+    """Classes of the most frequent words, biases from counts, and small random weights."""
+    depth = digits_for(words.count()) if depth is None else depth
+    top = words.orderBy(F.desc("n"), "key").limit(OWN).collect()
+    keys = np.array([r.key for r in top], np.int64).view(np.uint64)
+    order = np.argsort(keys)
     draw = np.random.default_rng(7)
-    weights = [draw.normal(0, 0.1, s).astype(np.float32) for s in _SHAPES]
+    weights = [draw.normal(0, 0.1, s).astype(np.float32) for s in _shapes(depth)]
     weights[1][:] = 0
-    # Fewer words than OWN leave classes without any.
-    weights[3][:] = np.log(np.maximum(mass, 1e-3) / mass.sum())
-    none = np.zeros((2, CLASSES + 1, GROUPS), np.int64)
-    flat = np.concatenate([w.ravel() for w in weights])
-    return WindowModel(own, class_of.astype(np.int16), log_within, flat, np.empty(0, np.int64), np.empty(0, np.int32), none, none)
+    mass = np.zeros(CLASSES)
+    mass[: len(top)] = [r.n for r in top]
+    rest, bias = words.filter(~F.col("key").isin([r.key for r in top])), []
+    for level in range(depth):
+        weights[4 + 3 * level] += 1
+        count = np.full((min(ROWS, GROUPS * DIGITS**level), DIGITS), 0.01)
+        # Sums by row and digit, at most ROWS * DIGITS of them.
+        for r in _masses(rest, level).toLocalIterator():
+            if level == 0:
+                mass[OWN + r.row] += r.n
+            count[r.row, r.digit] += r.n
+        bias.append(np.log(count / count.sum(axis=1, keepdims=True)).astype(np.float32))
+    weights[3][:] = np.log(np.maximum(mass, 0.01) / max(mass.sum(), 1))
+    return WindowModel(keys[order], order, depth, np.concatenate([w.ravel() for w in weights]), bias)
+
+
+def _masses(words: DataFrame, level: int) -> DataFrame:
+    """(row, digit, n): tokens by row of the bias and next digit."""
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("row", "digit", "n")])
 
+    def run(batches):
+        total = np.zeros(ROWS * DIGITS, np.int64)
+        for batch in batches:
+            keys = np.asarray(batch.column(0)).view(np.uint64)
+            np.add.at(total, row_of(keys, level) * DIGITS + digit(keys, level), np.asarray(batch.column(1)))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at // DIGITS), pa.array(at % DIGITS), pa.array(total[at])], names=schema.names)
 
-def _beside(places: np.ndarray, near: np.ndarray) -> list[np.ndarray]:
-    """Keys of tokens with the class before and the class after them."""
-    return [(places * 2 + side) * (CLASSES + 1) + near[:, SLOTS.index(d)] for side, d in enumerate((-1, 1))]
+    return words.select("key", "n").mapInArrow(run, schema).groupBy("row", "digit").agg(F.sum("n").alias("n"))
 
 
-def with_pairs(docs: DataFrame, model: WindowModel, text: str) -> WindowModel:
-    """The model with the counts of each word beside each class; words that are classes need none."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.class_of))
-    shape = model.totals.shape
-    fields = ["keys", "counts", "totals", "kinds"]
-    schema = T.StructType([T.StructField(n, T.BinaryType()) for n in fields])
+def _windows(classes: np.ndarray, row_at: np.ndarray) -> np.ndarray:
+    """Rows of the embeddings for the classes at the SLOTS around each token; CLASSES beyond the ends of its document."""
+    n, out = len(classes), np.full((len(SLOTS), len(classes)), CLASSES, np.int16)
+    left, right = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    left[row_at[:-1]], right[row_at[1:]] = True, True
+    for k, d in enumerate(SLOTS):
+        a = abs(d)
+        if n > a:
+            out[k, a:] = classes[: n - a]
+            if d > 0:
+                out[k] = CLASSES
+                out[k, : n - a] = classes[a:]
+        # The first tokens of a document have nobody before them, the last nobody behind.
+        for step in range(a):
+            edge = row_at[:-1] + step if d < 0 else row_at[1:] - 1 - step
+            inside = (edge < row_at[1:]) & (edge >= row_at[:-1])
+            out[k, edge[inside]] = CLASSES
+        out[k] += k * (CLASSES + 1)
+    return out
 
-    def keys(column: pa.Array) -> np.ndarray:
-        own, row_at = tokens(column)
-        table = WindowModel(*shared.value, *[None] * 6)
-        places = table.places(own)
-        classes = table.class_of[places]
-        near, grouped = _windows(classes, row_at), classes >= OWN
-        return np.concatenate(_beside(places[grouped], near[grouped]))
 
-    def run(batches):
-        totals, kinds, class_of = np.zeros(shape, np.int64), np.zeros(shape, np.int64), shared.value[1]
+def _hidden(parts: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Softsign of the sum of the neighbours' embeddings, and its slope."""
+    x = parts[0].take(near[0], axis=0)
+    for k in range(1, len(SLOTS)):
+        x += parts[0].take(near[k], axis=0)
+    x += parts[1]
+    slope = 1 / (1 + np.abs(x))
+    x *= slope
+    return x, slope * slope
 
-        def row(*arrays: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=fields)
 
-        none = np.empty(0, np.int64)
-        for batch in batches:
-            found, counts = (np.asarray(batch.column(k)) for k in range(2))
-            word, beside = found // (2 * (CLASSES + 1)), found % (CLASSES + 1)
-            cell = np.ravel_multi_index((found // (CLASSES + 1) % 2, beside, class_of[word] - OWN), shape)
-            totals += np.bincount(cell, counts, totals.size).astype(np.int64).reshape(shape)
-            kinds += np.bincount(cell, minlength=kinds.size).reshape(shape)
-            more = counts > 1
-            yield row(found[more], np.minimum(counts[more], 2**31 - 1).astype(np.int32), none, none)
-        yield row(none, none, totals, kinds)
-
-    # Rows reach the driver one partition after the other, so that it holds them once.
-    rows = stage(_counted(docs, text, keys).mapInArrow(run, schema), "pairs")
-    shared.unpersist()
-    found, counts, sums = [], [], [np.zeros(shape, np.int64), np.zeros(shape, np.int64)]
-    for r in rows.toLocalIterator():
-        found.append(np.frombuffer(r["keys"], np.int64))
-        counts.append(np.frombuffer(r["counts"], np.int32))
-        for total, part in zip(sums, (r["totals"], r["kinds"])):
-            if part:
-                total += np.frombuffer(part, np.int64).reshape(shape)
-    found, counts = np.concatenate(found or [np.empty(0, np.int64)]), np.concatenate(counts or [np.empty(0, np.int32)])
-    order = np.argsort(found)
-    return replace(model, pairs=found[order], pair_counts=counts[order], totals=sums[0], kinds=sums[1])
+def _softmax(x: np.ndarray, out: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the logits x @ out + bias, and their sums."""
+    p = x @ out
+    p += bias
+    np.exp(np.minimum(p, HIGH, out=p), out=p)
+    return p, p @ np.ones(p.shape[1], np.float32)
 
 
-def _windows(classes: np.ndarray, row_at: np.ndarray) -> np.ndarray:
-    """Classes at the SLOTS around each token; CLASSES beyond the ends of its document."""
-    row = np.repeat(np.arange(len(row_at) - 1), np.diff(row_at))
-    at, out = np.arange(len(classes)), np.full((len(classes), len(SLOTS)), CLASSES, np.int16)
-    for k, d in enumerate(SLOTS):
-        there = at + d
-        inside = (there >= row_at[row]) & (there < row_at[row + 1])
-        out[inside, k] = classes[there[inside]]
-    return out
+def _error(p: np.ndarray, total: np.ndarray, target: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the mean cross-entropy of n tokens by the logits, in the place of their powers."""
+    p *= (1 / (total * np.float32(n)))[:, None]
+    p[np.arange(len(p)), target] -= np.float32(1 / n)
+    return p
 
 
-def _forward(parts: list[np.ndarray], near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    embed, shift, out, bias = parts
-    x = embed[0][near[:, 0]] + shift
-    for k in range(1, len(SLOTS)):
-        x += embed[k][near[:, k]]
-    h = np.tanh(x)
-    return h, h @ out + bias
+def _gate(parts: list[np.ndarray], keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a level's group and digit before let through of the hidden units; group and digit."""
+    group = (keys % np.uint64(GROUPS)).astype(np.int16)
+    before = digit(keys, level - 1).astype(np.int16) if level else np.zeros(len(keys), np.int16)
+    at = 4 + 3 * level
+    return parts[at].take(group, axis=0) + parts[at + 1].take(before, axis=0), group, before
 
 
-def log_probabilities(model: WindowModel, own: np.ndarray, row_at: np.ndarray) -> np.ndarray:
-    """log P(token | both sides) of every token."""
-    places, parts = model.places(own), model.parts()
-    classes = model.class_of[places]
-    near, result = _windows(classes, row_at), np.empty(len(own))
+def log_probabilities(model: WindowModel, keys: np.ndarray, row_at: np.ndarray) -> np.ndarray:
+    """log P(cell of the token | both sides) of every token; of a word that is a class, of the word."""
+    parts, classes = model.parts(), model.classes(keys)
+    near, result = _windows(classes, row_at), np.empty(len(keys))
     # No chunk goes over two documents: a product's rounding depends on the place in it, and equal texts score alike.
     for start, end in zip(row_at, row_at[1:]):
         for a in range(start, end, _CHUNK):
             b = min(a + _CHUNK, end)
-            logits = _forward(parts, near[a:b])[1]
-            logits -= logits.max(axis=1, keepdims=True)
-            picked = logits[np.arange(b - a), classes[a:b]]
-            result[a:b] = picked - np.log(np.exp(logits, out=logits).sum(axis=1))
-    return result + log_shares(model, places, near)
-
-
-def log_shares(model: WindowModel, places: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """log P(token | its class, both neighbours' classes): the mean of the shares beside each neighbour.
-
-    One is taken off each count, so that a single occurrence, which may be the scored one,
-    is no evidence for itself; what is taken off goes to the class by its counts without context.
-    """
-    result = np.zeros(len(places))
-    some = np.flatnonzero(model.class_of[places] >= OWN)
-    base, group = np.exp(model.log_within[places[some]].astype(float)), model.class_of[places[some]] - OWN
-    share = np.zeros(len(some))
-    for side, keys in enumerate(_beside(places[some], near[some])):
-        at, found = _find(model.pairs, keys)
-        seen = np.zeros(len(some))
-        seen[found] = model.pair_counts[at[found]] - 1
-        cell = (side, keys % (CLASSES + 1), group)
-        share += (seen + (model.kinds[cell] + PRIOR) * base) / (model.totals[cell] + PRIOR) / 2
-    result[some] = np.log(share)
+            h, _ = _hidden(parts, near[:, a:b])
+            p, total = _softmax(h, parts[2], parts[3])
+            odds = p[np.arange(b - a), classes[a:b]].astype(float) / total + TINY
+            some = np.flatnonzero(classes[a:b] >= OWN)
+            if len(some):
+                h, key = h[some], keys[a:b][some]
+                for level in range(model.depth):
+                    bias = model.bias[level].take(row_of(key, level), axis=0)
+                    q, total = _softmax(h * _gate(parts, key, level)[0], parts[6 + 3 * level], bias)
+                    odds[some] *= q[np.arange(len(some)), digit(key, level)].astype(float) / total + TINY
+            result[a:b] = np.log(odds)
     return result
 
 
 class Trainer:
-    """Adagrad on cross-entropy of masked tokens."""
+    """Adagrad on the cross-entropy of masked tokens."""
 
     def __init__(self, model: WindowModel):
         self.model = replace(model, weights=model.weights.copy())
-        self.squares = np.full(len(self.model.weights), 1e-3, np.float32)
+        self.parts = self.model.parts()
+        self.squares = replace(model, weights=np.full(len(model.weights), 1e-7, np.float32)).parts()
         self.seen = 0
 
-    def step(self, near: np.ndarray, target: np.ndarray) -> None:
-        parts, n = self.model.parts(), len(target)
-        h, logits = _forward(parts, near)
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), target] -= 1
-        p /= n
-        back = (p @ parts[2].T) * (1 - h * h)
-        embed = np.empty(_SHAPES[0], np.float32)
+    def _move(self, k: int, gradient: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """A step of one part, or of some of its rows, to which the gradients of equal rows add up."""
+        if rows is None:
+            self.squares[k] += gradient * gradient
+            self.parts[k] -= RATE * gradient / np.sqrt(self.squares[k])
+            return
+        order = np.argsort(rows, kind="stable")
+        first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+        gradient, rows = np.add.reduceat(gradient.take(order, axis=0), first), rows[order][first]
+        self.squares[k][rows] += gradient * gradient
+        self.parts[k][rows] -= RATE * gradient / np.sqrt(self.squares[k][rows])
+
+    def step(self, near: np.ndarray, target: np.ndarray, keys: np.ndarray) -> None:
+        n = len(target)
+        h, slope = _hidden(self.parts, near)
+        p = _error(*_softmax(h, self.parts[2], self.parts[3]), target, n)
+        back = p @ self.parts[2].T
+        moves = [(2, h.T @ p, None), (3, np.ones(n, np.float32) @ p, None)]
+        some = np.flatnonzero(target >= OWN)
+        if len(some):
+            seen, key, below = h.take(some, axis=0), keys[some], 0
+            for level in range(self.model.depth):
+                at = 4 + 3 * level
+                gate, group, before = _gate(self.parts, key, level)
+                gated, out = seen * gate, self.parts[at + 2]
+                bias = self.model.bias[level].take(row_of(key, level), axis=0)
+                q = _error(*_softmax(gated, out, bias), digit(key, level), n)
+                through = q @ out.T
+                below = below + through * gate
+                through *= seen
+                moves += [(at, through, group), (at + 1, through, before), (at + 2, gated.T @ q, None)]
+            back[some] += below
+        back *= slope
+        self._move(1, back.sum(axis=0))
         for k in range(len(SLOTS)):
-            one = np.zeros((n, CLASSES + 1), np.float32)
-            one[np.arange(n), near[:, k]] = 1
-            embed[k] = one.T @ back
-        g = np.concatenate([x.ravel() for x in (embed, back.sum(axis=0), h.T @ p, p.sum(axis=0))])
-        self.squares += g * g
-        self.model.weights -= (RATE * g / np.sqrt(self.squares)).astype(np.float32)
-
-    def learn(self, own: np.ndarray, row_at: np.ndarray, number: int) -> None:
+            self._move(0, back, near[k])
+        for k, gradient, rows in moves:
+            self._move(k, gradient, rows)
+
+    def learn(self, keys: np.ndarray, row_at: np.ndarray, number: int) -> None:
         """One pass over the tokens of a round, which depend on the text alone."""
-        classes = self.model.class_of[self.model.places(own)]
+        classes = self.model.classes(keys)
         near = _windows(classes, row_at)
-        drawn = mix(own * np.uint64(1_000_003) + np.arange(len(own), dtype=np.uint64))
+        drawn = mix(keys * np.uint64(1_000_003) + np.arange(len(keys), dtype=np.uint64))
         masked = np.flatnonzero(drawn % np.uint64(ROUNDS) == number)
         for a in range(0, len(masked), BATCH):
             at = masked[a : a + BATCH]
-            self.step(near[at], classes[at])
+            self.step(near[:, at], classes[at], keys[at])
         self.seen += len(masked)
 
 
@@ -372,33 +432,72 @@ def train_round(docs: DataFrame, model: WindowModel, text: str, number: int) ->
     return replace(model, weights=weights)
 
 
-def train(docs: DataFrame, text: str = "text") -> WindowModel:
+def train(docs: DataFrame, text: str = "text", depth: int | None = None) -> Trained:
     """A model of all documents; of an empty table, one that knows only its random start."""
-    model = new_model(token_counts(docs, text))
+    words = stage(word_counts(docs, text), "words")
+    model = new_model(words, depth)
+    own = model.own.view(np.int64).tolist()
+    shares = stage(word_shares(words, own, model.depth), "shares")
     for number in range(ROUNDS):
         model = train_round(docs, model, text, number)
-    return with_pairs(docs, model, text)
+    # At most TOP rows reach the driver, whatever the corpus holds.
+    top = shares.orderBy(F.desc("n"), "key").limit(TOP).select("key", "share").toArrow()
+    keys, share = np.asarray(top["key"]).view(np.uint64), np.asarray(top["share"])
+    order = np.argsort(keys)
+    mass = np.zeros(GROUPS)
+    for r in shares.filter(~F.col("key").isin(own)).groupBy(_cell(0).alias("g")).agg(F.sum("n").alias("n")).collect():
+        mass[r.g] = r.n
+    unseen = np.round(-np.log(mass / DIGITS**model.depth + 1) / UNIT).astype(np.int64).tolist()
+    return Trained(replace(model, top=keys[order], top_share=share[order]), shares, unseen)
+
+
+def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    at = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=rows))))
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
 
 
-def score(docs: DataFrame, model: WindowModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, trained: Trained, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds n_tokens, pll (sum of log-probabilities) and pll_mean (per token).
 
     Null and empty texts have no tokens, a sum of 0 and a null mean.  Rows are scored one
-    by one, so repeated rows score alike; extra columns pass, and results
+    by one, so repeated rows score alike, and a tie of counts changes no share; of a very long
+    text, one chunk of tokens is scored at a time.  A word that the corpus lacks
+    takes one count in a mean cell of its group.  Extra columns pass, and results
     replace columns of their names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(trained.model)
+    named = [T.StructField("n_tokens", T.LongType()), T.StructField("pll", T.DoubleType()), T.StructField("pll_mean", T.DoubleType())]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in named}]
+    names = {n: fresh(docs.columns, n) for n in ("net", "units", "rare", "row", "key", "others")}
 
     def work(batch: pa.RecordBatch) -> dict:
-        own, at = tokens(batch.column(batch.schema.get_field_index(text)))
+        keys, at = tokens(batch.column(batch.schema.get_field_index(text)))
         n = np.diff(at)
-        total, some = np.zeros(len(n)), np.flatnonzero(n)
+        row = np.repeat(np.arange(len(n)), n)
+        place, found = _find(shared.value.top, keys)
+        net, units, some = np.zeros(len(n)), np.zeros(len(n), np.int64), np.flatnonzero(n)
         if len(some):  # each row by itself, so that equal texts score alike
-            total[some] = np.add.reduceat(log_probabilities(shared.value, own, at), at[some])
-        return {"n_tokens": pa.array(n), "pll": pa.array(total), "pll_mean": pa.array(total / np.maximum(n, 1), mask=n == 0)}
-
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("pll", T.DoubleType()), T.StructField("pll_mean", T.DoubleType())]
-    return map_texts(docs, work, fields, text, keep)
+            net[some] = np.add.reduceat(log_probabilities(shared.value, keys, at), at[some])
+            share = np.zeros(len(keys), np.int64)
+            share[found] = shared.value.top_share[place[found]]
+            units[some] = np.add.reduceat(share, at[some])
+        rare = _lists(keys[~found].view(np.int64), row[~found], len(n))
+        return {"n_tokens": pa.array(n), names["net"]: pa.array(net), names["units"]: pa.array(units), names["rare"]: rare}
+
+    fields = [named[0], T.StructField(names["net"], T.DoubleType()), T.StructField(names["units"], T.LongType())]
+    fields.append(T.StructField(names["rare"], T.ArrayType(T.LongType())))
+    # Written once, so that a row keeps its number.
+    parts = stage(map_texts(docs, work, fields, text, keep).withColumn(names["row"], F.monotonically_increasing_id()), "scored")
+    words = parts.select(names["row"], F.explode(names["rare"]).alias(names["key"]))
+    table = trained.shares.select(F.col("key").alias(names["key"]), F.col("share").alias(names["others"]))
+    lost = F.element_at(F.array(*[F.lit(u) for u in trained.unseen]), (F.col(names["key"]).bitwiseAND(F.lit(GROUPS - 1)) + 1).cast("int"))
+    others = F.coalesce(names["others"], lost)
+    sums = words.join(table, names["key"], "left").groupBy(names["row"]).agg(F.sum(others).alias(names["others"]))
+    whole = F.col(names["units"]) + F.coalesce(names["others"], F.lit(0))
+    pll = F.when(F.col("n_tokens") == 0, 0.0).otherwise(F.col(names["net"]) + whole * UNIT)
+    mean = F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens"))
+    joined = parts.join(sums, names["row"], "left").withColumn("pll", pll).withColumn("pll_mean", mean)
+    return joined.select(*[f"`{c}`" for c in keep], *[f.name for f in named])
 
 
 def digest(docs: DataFrame) -> DataFrame:
