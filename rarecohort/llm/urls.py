@@ -104,9 +104,15 @@ class Cascade:
         return out
 
 
-def _groups(listed: int) -> int:
-    per_key = math.log2(1 / FIRST_RATE) / math.log(2)
-    return max(1, math.ceil(listed * per_key / MAX_BITS))
+def _groups(listed: int, universe: int) -> int:
+    """Groups of keys in which no filter is above ``MAX_BITS``, by the level that takes most.
+
+    The first level holds the listed keys, the second the first one's false positives among all others.
+    Hashing deals keys unevenly and rates vary, so a tenth is left free.
+    """
+    first = listed * round(math.log2(1 / FIRST_RATE)) / math.log(2)
+    second = (universe - listed) * FIRST_RATE * round(math.log2(1 / LATER_RATE)) / math.log(2)
+    return max(1, math.ceil(max(first, second) / (0.9 * MAX_BITS)))
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]], url: str = "url") -> DataFrame:
@@ -119,8 +125,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
     an empty list or table is none to filter, and the four results replace
     columns of those names.
 
-    The keys are the corpus's distinct hosts.  Above ``MAX_BITS`` the keys are
-    split by hash into groups with a cascade each; each group reads the url column once.
+    The keys are the corpus's distinct hosts.  If a filter would be above ``MAX_BITS``, be it of
+    listed keys or of false positives, the keys are split by hash into groups with a cascade each; each group reads the url column once.
     """
     host, path = split_url(F.col(url))
     judged = pages.withColumns({"host": host, "path": path})
@@ -130,7 +136,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str]]
     universe = checkpoint(pages.select(host.alias("key")).distinct())
     wanted = listed.toDF("key").filter(F.col("key").isNotNull()).distinct()
     inside = checkpoint(universe.join(wanted, "key", "left_semi"))
-    groups = _groups(inside.count())
+    groups = _groups(inside.count(), universe.count())
     out = None
     for g in range(groups):
         def part(df: DataFrame, key: str, g=g) -> DataFrame:
