@@ -86,17 +86,37 @@ class PrefixHash:
         return f"{self.n:x}.{step:x}.{one:08x}{two:08x}.{heads}.{''.join(back)}"
 
 
-def _blocks(marks: str, own: int, step: int, turn: int) -> list[int]:
-    """Hashes of the blocks between the marks at multiples of ``step``, from a grid of ``own``; comparable at equal places."""
-    width, prime = 8 * (step // own), MODULI[0][0]
-    sums = [0] + [int(marks[i - 8 : i], 16) for i in range(width, len(marks) + 1, width)]
-    return [(b - a * turn) % prime for a, b in zip(sums, sums[1:])]
+def _marks(marks: str, own: int, step: int) -> list[int]:
+    """Hashes at multiples of ``step``, from a grid of ``own``; the first is of nothing."""
+    width = 8 * (step // own)
+    return [0] + [int(marks[i - 8 : i], 16) for i in range(width, len(marks) + 1, width)]
+
+
+def _extension(xs: list[int], ys: list[int]) -> int:
+    """Steps of the longest common extension, by binary search: marks agree up to its end and not behind."""
+    low, high = 0, min(len(xs), len(ys)) - 1
+    while low < high:
+        middle = (low + high + 1) // 2
+        if xs[middle] == ys[middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _equal_blocks(xs: list[int], ys: list[int], turn: int) -> list[int]:
+    """Steps whose blocks are equal: those of the common extension, and of the rest by differences of marks."""
+    reach, prime = _extension(xs, ys), MODULI[0][0]
+    rest = range(reach, min(len(xs), len(ys)) - 1)
+    return [*range(reach), *(i for i in rest if (xs[i + 1] - xs[i] * turn - ys[i + 1] + ys[i] * turn) % prime == 0)]
 
 
 def likeness(x: str, y: str) -> float:
     """Blocks of the coarser grid that are equal, as a part of the longer text; 1 for equal texts.
 
-    Blocks are compared at equal distances from the start, and from the end.
+    The longest common prefix and suffix on the grid are found by binary search; behind
+    them, blocks are compared at equal distances from the start, and from the end.
+    A fingerprint has at most GRID marks a side, so a text's length does not matter.
     """
     if x == y:
         return 1.0
@@ -105,11 +125,9 @@ def likeness(x: str, y: str) -> float:
     if not min(n, m):
         return 0.0
     step, (prime, base) = max(s, t), MODULI[0]
-    equal = []
     # A longer suffix mark is its block and the shorter one, moved by a step.
-    for k, turn in enumerate((1, pow(base, step, prime))):
-        pairs = zip(_blocks(xs[k], s, step, turn), _blocks(ys[k], t, step, turn))
-        equal.append([i * step for i, (a, b) in enumerate(pairs) if a == b])
+    turns = (1, pow(base, step, prime))
+    equal = [[i * step for i in _equal_blocks(_marks(xs[k], s, step), _marks(ys[k], t, step), turns[k])] for k in (0, 1)]
 
     def covered(length: int) -> int:
         """Code points of a text of that length in equal blocks, each counted once."""
