@@ -153,6 +153,23 @@ def test_urls(spark, monkeypatch):
     assert urls.judge_urls(table.limit(0), listed, urls.RULES).count() == 0
 
 
+def test_few_listed_hosts_of_many_keep_filters_small(spark, monkeypatch):
+    made, init = [], urls.BloomFilter.__init__
+
+    def noted(self, *args):
+        init(self, *args)
+        made.append(self.bits)
+
+    monkeypatch.setattr(urls, "MAX_BITS", 1 << 11)
+    monkeypatch.setattr(urls.BloomFilter, "__init__", noted)
+    pages = spark.range(60_000).selectExpr("id as page_id", "concat('http://h', id, '.x/') as url", "repeat('y', 3) as key")
+    listed = spark.range(0, 60_000, 3000).selectExpr("concat('h', id, '.x') as host")
+    got = urls.judge_urls(pages, listed, [])
+    blocked = sorted(r.page_id for r in got.filter("verdict = 'block'").collect())
+    assert blocked == list(range(0, 60_000, 3000)) and got.count() == 60_000 and set(got.columns) >= {"key", "host"}
+    assert len(made) > 2 and max(made) <= 1 << 11
+
+
 # --- 4 fingerprints ------------------------------------------------------------------------
 def test_fingerprints(odd, docs):
     for table in (odd.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), docs):
@@ -178,6 +195,29 @@ def test_span_hashes_and_extensions(spark):
     assert [r.common_prefix for r in fingerprints.longest_extensions(pairs, "a", "b").collect()] == [2, 0, 0]
 
 
+def test_likeness_by_extensions_equals_all_blocks():
+    of = lambda t: fingerprints.PrefixHash(t).fingerprint()
+
+    def by_texts(x, y):
+        """Equal blocks of the two texts themselves, from both ends."""
+        step = 1
+        while max(len(x), len(y)) > fingerprints.GRID * step:
+            step *= 2
+        several = range(0, min(len(x), len(y)) // step * step, step)
+        heads = [i for i in several if x[i : i + step] == y[i : i + step]]
+        tails = [i for i in several if x[len(x) - i - step : len(x) - i] == y[len(y) - i - step : len(y) - i]]
+        covers = [len({p for a in heads for p in range(a, a + step)} | {p for a in tails for p in range(n - a - step, n - a)}) for n in (len(x), len(y))]
+        return min(covers) / max(len(x), len(y), 1)
+
+    for _ in range(300):
+        x = "".join(_rng.choice("ab") for _ in range(_rng.randrange(1, 200)))
+        cut = [_rng.randrange(len(x) + 1) for _ in range(2)]
+        for y in (x[: cut[0]] + "c" + x[cut[0] :], x[: cut[0]] + "cc" + x[cut[1] :], x + x, x[::-1], x[cut[0] :]):
+            assert math.isclose(fingerprints.likeness(of(x), of(y)), 1.0 if x == y else by_texts(x, y))
+    marks = [fingerprints._marks(of(t).split(".")[3], 1, 1) for t in ("abcdefgh", "abcxefgh")]
+    assert fingerprints._extension(*marks) == 3
+
+
 def test_likeness_counts_all_equal_blocks():
     of = lambda t: fingerprints.PrefixHash(t).fingerprint()
     like = lambda a, b: fingerprints.likeness(of(a), of(b))
