@@ -45,3 +45,11 @@ def test_a_large_patient_is_written_by_many_tasks(spark, tmp_path):
 def test_tasks_that_follow_patients_are_not_shuffled(spark, tmp_path):
     write_parsed(scattered(spark), str(tmp_path / "t"), by_patient=True)
     assert len(glob.glob(str(tmp_path / "t" / "Patient_ID=P1" / "*.parquet"))) == 8
+
+
+def test_roundtrip_query_writes_a_file_per_patient(spark, sf_dir, monkeypatch):
+    folders = []
+    monkeypatch.setattr(Q, "read_cohort", lambda s, folder: folders.append(folder) or read_cohort(s, folder))
+    Q.parsed_roundtrip(spark, sf_dir)
+    found = glob.glob(f"{folders[0].removeprefix('file:')}/Patient_ID=*")
+    assert found and all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in found)
