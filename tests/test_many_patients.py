@@ -53,3 +53,16 @@ def test_roundtrip_query_writes_a_file_per_patient(spark, sf_dir, monkeypatch):
     Q.parsed_roundtrip(spark, sf_dir)
     found = glob.glob(f"{folders[0].removeprefix('file:')}/Patient_ID=*")
     assert found and all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in found)
+
+
+@pytest.mark.parametrize("small", [vcf.SMALL_FILE, 400, 0])
+def test_heads_of_small_files_share_tasks(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(vcf, "SMALL_FILE", small)
+    for i in range(60):
+        rest = [record(POS=str(k)) for k in range(1 + 200 * (i % 10 == 0))]
+        write(tmp_path, f"p{i}.vcf", [header(FIELDS), f"##n={i}", *rest, header(FIELDS[::-1])])
+    heads = vcf.vcf_heads(spark, str(tmp_path))
+    assert {(r["Patient_ID"], r["value"]) for r in heads.collect()} == {(f"p{i}", v) for i in range(60) for v in (header(FIELDS), f"##n={i}")}
+    assert heads.count() == 120
+    if small == vcf.SMALL_FILE > 1000:
+        assert len(heads.inputFiles()) < 60
