@@ -55,6 +55,13 @@ def test_roundtrip_query_writes_a_file_per_patient(spark, sf_dir, monkeypatch):
     assert found and all(len(glob.glob(f"{f}/*.parquet")) == 1 for f in found)
 
 
+def test_vcf_files_lie_alone(spark, sf_dir):
+    """Nothing else is below the folder, which each scan would list."""
+    folder = X.vcf_files(spark, sf_dir).removeprefix("file:")
+    patients = X.header_lines(spark, sf_dir).count()
+    assert len(glob.glob(f"{folder}/*.vcf")) == patients == len(glob.glob(f"{folder}/*"))
+
+
 @pytest.mark.parametrize("small", [vcf.SMALL_FILE, 400, 0])
 def test_heads_of_small_files_share_tasks(spark, tmp_path, monkeypatch, small):
     monkeypatch.setattr(vcf, "SMALL_FILE", small)
