@@ -73,3 +73,14 @@ def test_heads_of_small_files_share_tasks(spark, tmp_path, monkeypatch, small):
     assert heads.count() == 120
     if small == vcf.SMALL_FILE > 1000:
         assert len(heads.inputFiles()) < 60
+
+
+def test_update_asks_for_names_once(spark, tmp_path, monkeypatch):
+    """One listing before and one after, not calls for each patient."""
+    (tmp_path / "vcf").mkdir()
+    for i in range(30):
+        write(tmp_path / "vcf", f"p{i}.vcf", [header(FIELDS), record()])
+    calls, real = [], I.file_system
+    monkeypatch.setattr(I, "file_system", lambda *a: calls.append(a) or real(*a))
+    assert I.update_parsed(spark, str(tmp_path / "vcf"), str(tmp_path / "parsed"), str(tmp_path / "manifest")) == I.Update(30, 30, 0)
+    assert len(calls) < 10
